@@ -73,3 +73,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a slice; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, rows: int) -> DataFrame:
+    """At most ``rows`` labelled documents of the learnable folds: doc_id, text, label.
+
+    Those with the smallest hash of the id are taken, so the choice depends on
+    neither order nor partitions. Documents whose label rows disagree or are
+    null are left out; of rows with one id, one is taken. The ids are few by
+    the documented bound, so they are broadcast.
+    """
+    own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1) & learnable("_id", modulus, remainder))
+    ids = own.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).filter("_y = _top")
+    ids = ids.orderBy(F.xxhash64(F.col("_id").cast("long")), "_id").limit(rows).drop("_top")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("_y").alias("label"))
