@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, langid, packing
+from sheaf.llm import chat_format, langid, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
