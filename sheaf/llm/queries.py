@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, decontam, knn_join, langid, packing, quality, toxicity
+from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, packing, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
