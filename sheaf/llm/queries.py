@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, packing, quality, toxicity
+from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
