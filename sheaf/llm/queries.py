@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, packing, quality, secrets, toxicity
+from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ctw_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
+    "op4_ctw_lm": op4_ctw_lm,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
