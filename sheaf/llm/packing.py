@@ -16,7 +16,10 @@ than the id and the text are neither read nor returned.
 
 from __future__ import annotations
 
+import json
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,34 +33,99 @@ from sheaf.llm.common import materialize, slices, small_batches, texts_of
 CAPACITY = 4096
 END_ID = 1
 #: Distinct words whose ids a task keeps at most; a full cache is emptied.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
+#: How the tokenizers that the short way is made for cut text, and
+#: the letters that stand for bytes in their vocabulary.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+
+
+def byte_letters() -> list[str]:
+    others = iter(range(256, 512))
+    return [chr(b) if b in PRINTABLE else chr(next(others)) for b in range(256)]
+
+
+def packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
+#: Of a worker that runs task after task.
+_WORDS: dict[str, WordIds] = {}
+
+
+def words_of(path: str) -> WordIds:
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
+
+
 class WordIds(dict):
     """Ids of white-space separated chunks as little-endian bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are the ids of its chunks in turn.
+    are the ids of its chunks in turn. A chunk of Latin-1 letters is cut and
+    merged piece by piece, and pieces are remembered too, as most new chunks are
+    known pieces with other punctuation or case; any other chunk, and every
+    chunk under a tokenizer of another kind, goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
+        whole = Tokenizer.from_file(path)
+        self.encode, self.merge = whole.encode, whole.model.tokenize
+        spec = json.loads(whole.to_str())
+        kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.short = kinds == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": SPLIT} and spec["model"]["type"] == "BPE"
+        self.special = [x["content"] for x in spec["added_tokens"]]
+        self.first = "".join({x[0] for x in self.special})
+        self.spaced = not self.special or not any(c.isspace() for x in self.special for c in x)
+        self.cut = regex.compile(SPLIT).findall
+        self.letters = byte_letters()
+        self.pieces: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        if (out := self.pieces.get(piece)) is None:
+            if len(self.pieces) >= CACHE_WORDS:
+                self.pieces.clear()
+            written = piece if piece.isascii() and piece.isprintable() else "".join(self.letters[b] for b in piece.encode())
+            out = packed([t.id for t in self.merge(written)])
+            if len(piece) <= 64:
+                self.pieces[piece] = out
+        return out
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.encode(word, add_special_tokens=False).ids if word else []
-        out = np.asarray(ids, "<u4").tobytes()
+        if not self.short or len(word) > 64 or not (word.isascii() or max(word) <= "\xff") or self.marked(word):
+            out = packed(self.encode(word, add_special_tokens=False).ids if word else [])
+        elif word.isalpha():
+            out = self.piece(word.lower())
+        elif word[-1:] in ",.;:!?" and word[:-1].isalpha():
+            out = self.piece(word[:-1].lower()) + self.piece(word[-1])
+        else:
+            out = b"".join(map(self.piece, self.cut(word.lower())))
         if len(word) <= 64:
             self[word] = out
         return out
 
+    def marked(self, word: str) -> bool:
+        """Whether a special token may be in the word."""
+        return self.first in word and any(x in word for x in self.special) if len(self.first) == 1 else any(x in word for x in self.special)
+
     def of(self, text: str) -> bytes:
+        if not self.spaced:
+            return packed(self.encode(text, add_special_tokens=False).ids)
         words = text.replace("\n", " ").split(" ")
         return b"".join(map(self.__getitem__, words))
 
@@ -67,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, width = WordIds(tokenizer), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
+        words, end, width = words_of(tokenizer), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
         for batch in slices(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
