@@ -220,3 +220,22 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
 
     marked = docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "text")
     return pooled_rows(marked, ("doc_id", "held_out"), "doc_id long, held_out boolean, score double, predicted int", sent, finish)
+
+
+def keep(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, max_rows: int = MAX_ROWS, threshold: float = 0.7) -> DataFrame:
+    """The rows whose texts score at least the threshold, with all their columns; without labelled rows, all."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sent = spark.sparkContext.broadcast(fit(own, labels, modulus, remainder, max_rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, shapes = Tokens(), index_vectors(SHAPES, 5)
+        forms, net = sent.value
+        for batch in slices(batches):
+            if net is not None and batch.num_rows:
+                scores = net.scores(np.stack([pooled(tokens.of(t), forms, shapes) for t in texts_of(batch)]))
+                batch = batch.filter(pa.array(scores >= threshold))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -133,21 +133,30 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with every base span's text replaced by a mark, all columns kept.
+def masked(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
+    """docs with a mark in place of every span, all columns kept; n_chars, if there, follows the text.
 
-    A text is rewritten where a span of the base kinds was kept: short matches
-    stay as they are. Spans that overlap become one mark.
+    Texts without a match stay as they are. Spans that overlap become one mark.
+    A text's weak spans meet its other parts where they are, so no text is
+    moved.
     """
     text = F.col("text")
-    each = F.array_sort(F.concat(*base_spans(text).values()))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    base = F.concat(*base_spans(text).values())
+    parts = F.transform(F.concat(base, weak_spans(text)), lambda s: F.struct(*(s[c].alias(c) for c in ("start", "rank", "end", "kind", "piece")), role_of(s["kind"]).alias("role")))
+
+    def complete(every: Column, s: Column) -> Column:
+        gap = lambda o: F.greatest(s["start"] - o["end"], o["start"] - s["end"])
+        return ~s["kind"].startswith("w") | F.exists(every, lambda o: ((s["role"] == "secret") != (o["role"] == "secret")) & (gap(o) <= scope))
 
     def step(state: Column, s: Column) -> Column:
         before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
         out = F.when(s["start"] >= state["at"], F.concat(state["out"], before, F.lit(mark))).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
-    rewritten = F.aggregate(each, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    any_ = text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX)
-    return docs.withColumn("text", F.when(any_, rewritten).otherwise(text))
+    found = "_secret_spans"
+    while found in docs.columns:
+        found += "_"
+    kept = docs.withColumn(found, F.array_sort(parts)).withColumn(found, F.filter(found, lambda s: complete(F.col(found), s)))
+    rewritten = F.aggregate(F.col(found), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    kept = kept.withColumn("text", F.when(F.size(found) > 0, rewritten).otherwise(text)).drop(found)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
