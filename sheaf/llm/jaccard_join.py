@@ -19,8 +19,10 @@ equal sets are similar there is nothing to index.
 Sets that are equal are one class from the start. In a signature's bucket every
 class is tried against the bucket's first class alone; what that links becomes
 one component. Only classes of one bucket that are still in different components
-then meet each other, so a bucket of near copies costs its size, not its square.
-Every candidate is verified on the full sets.
+then meet each other, so a bucket of near copies costs its size, not its square;
+and they meet by parity sketches, whose distance never exceeds that of the sets,
+so only pairs that may reach the similarity are ever emitted. Every candidate is
+verified on the full sets.
 
 Shingles are hashed to 64 bits and classes to 128. Defined results: null and
 empty texts, and texts without words, have 0 shingles and are linked with
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import materialize, slices, small_batches
@@ -216,30 +218,61 @@ def first_of_bucket(rows: DataFrame) -> DataFrame:
     return rows.repartition("sig").sortWithinPartitions("sig", "short").mapInArrow(run, "sig long, first long, short long")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, elements) of the classes whose representative rows are wanted (rep).
+def parity(own: np.ndarray) -> tuple[int, bytes, bytes]:
+    """log2 of the bits, the parity sketch of a set, and the sketch folded to half its bits.
+
+    A bit is the parity of the elements that fall on it, so two sets differ in
+    at least as many elements as their sketches differ in bits.
+    """
+    k = max(7, int(len(own) - 1).bit_length())
+    bits = (np.bincount((mixed(own * _ODD[14]) & _U((1 << k) - 1)).astype(np.int64), minlength=1 << k) & 1).astype(np.uint8)
+    return k, np.packbits(bits).tobytes(), np.packbits(bits[: 1 << (k - 1)] ^ bits[1 << (k - 1) :]).tobytes()
+
+
+def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType, ...], schema: str) -> DataFrame:
+    """(class, made(elements) ...) of the classes whose representative rows are wanted (rep).
 
     A bitmap of fixed size keeps most other texts from being cut; what passes by
     chance finds no partner in the join that follows.
     """
-    spark = docs.sparkSession
     place = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
     words_ = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 AS int)))").alias("bits")).collect()
     bitmap = np.zeros((1 << FILTER_BITS) // 64, np.int64)
     for w, bits in words_:
         bitmap[w] = bits
-    sent = spark.sparkContext.broadcast(bitmap)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
             p = batch.column("p").fill_null(0).to_numpy()
             batch = batch.filter(pa.array((sent.value[p // 64] >> (p % 64)) & 1 == 1))
-            sets = [s for t in batch.column("text").to_pylist() if len(s := shingles(t, words))]
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["class", "elements"])
+            rows = [(class_of(own), *made(own)) for t in batch.column("text").to_pylist() if len(own := shingles(t, words))]
+            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), *kinds), strict=True)], names)
 
     at = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("p"), "text")
-    return at.mapInArrow(run, "class binary, elements array<long>")
+    return at.mapInArrow(run, schema)
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    return of_wanted(docs, wanted, lambda own: (own.view(np.int64),), (pa.list_(pa.int64()),), "class binary, elements array<long>")
+
+
+def sketches_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    as_longs = lambda b: np.frombuffer(b, ">i8").astype(np.int64)
+    made = lambda own: (lambda k, full, half: (k, as_longs(full), as_longs(half)))(*parity(own))
+    return of_wanted(docs, wanted, made, (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), "class binary, k int, full array<long>, half array<long>").dropDuplicates(["class"])
+
+
+def may_reach(x: str, y: str, similarity: tuple[int, int]) -> Column:
+    """Whether sizes and sketches leave two classes the similarity."""
+    n = F.col(f"{x}.n") + F.col(f"{y}.n")
+    pick = lambda a, b: F.when(F.col(f"{a}.k") > F.col(f"{b}.k"), F.col(f"{a}.half")).otherwise(F.col(f"{a}.full"))
+    apart = F.aggregate(F.zip_with(pick(x, y), pick(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
+    near = similarity[0] * F.greatest(f"{x}.n", f"{y}.n") <= similarity[1] * F.least(f"{x}.n", f"{y}.n")
+    return near & ((similarity[0] + similarity[1]) * (n - apart) >= 2 * similarity[0] * n)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -287,9 +320,11 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame
     marked = buckets.select("sig", "short").join(label, "short")
     mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
     open_ = materialize(marked.join(mixed_, "sig"), "jaccard-open")
+    wanted = open_.select("short").distinct().join(named.select("short", "class"), "short").join(classes.select("class", "rep"), "class")
+    sketches = sketches_of(docs, wanted).join(named.select("class", "short"), "class").drop("class")
+    open_ = materialize(open_.join(sketches, "short"), "jaccard-open")
     x, y = open_.alias("x"), open_.alias("y")
-    near = similarity[0] * F.greatest("x.n", "y.n") <= similarity[1] * F.least("x.n", "y.n")
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & near)
+    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_reach("x", "y", similarity))
     rest = materialize(pairs_of(rest.select(F.col("x.short").alias("s"), F.col("y.short").alias("t")).distinct()), "jaccard-rest")
     if not rest.isEmpty():
         linked = linked.unionByName(verified(rest, docs, classes, similarity))

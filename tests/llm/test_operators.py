@@ -479,3 +479,15 @@ def test_best_stretch_equals_brute_force():
         best = max((e - s for s in range(len(same)) for e in range(s + 1, len(same) + 1) if same[e - 1] and same[s:e].mean() >= 0.8 - 1e-12), default=0)
         a, b = decontam.best_stretch(same, 0.8)
         assert b - a == best
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(8)
+    bits = lambda b: np.unpackbits(np.frombuffer(b, np.uint8))
+    for _ in range(300):
+        one = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 700)).astype(np.uint64))
+        two = np.unique(np.r_[one[rng.integers(0, len(one)) :], rng.integers(0, 1 << 63, 20).astype(np.uint64)])
+        (k, a, a_half), (j, b, b_half) = jaccard_join.parity(one), jaccard_join.parity(two)
+        if abs(k - j) <= 1:
+            p, q = (a, b) if k == j else (a_half, b) if k > j else (a, b_half)
+            assert (bits(p) != bits(q)).sum() <= len(np.setxor1d(one, two))
