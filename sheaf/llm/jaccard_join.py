@@ -337,7 +337,17 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """One row of each component, that of the smallest id, with all its columns."""
+    """One row of each component, that of the smallest id, with all its columns.
+
+    Rows without an id stay; of rows that repeat id and text one stays. An id
+    with several texts keeps them all, since no row of it stands for the others.
+    """
     doc_id = F.col("doc_id").cast("long")
-    others = join(docs, similarity).filter("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, doc_id == F.col("_other"), "left_anti").dropDuplicates(["doc_id"])
+    ids = join(docs, similarity).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
+    ids = materialize(ids.agg(F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")), "jaccard-ids")
+    kept = docs.join(ids.filter("low = high AND low <> _other").select("_other"), doc_id == F.col("_other"), "left_anti")
+    twice = ids.filter("n > 1").select("_other")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, doc_id == F.col("_other"), "left_anti")
+    return once.unionByName(kept.join(twice, doc_id == F.col("_other"), "left_semi").dropDuplicates(["doc_id", "text"]))
