@@ -34,15 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import held_out, labelled_sample, slices, small_batches, texts_of
+from sheaf.llm.common import held_out, labelled_sample, materialize, slices, small_batches, texts_of
 
-MAX_EXAMPLES = 8000
+MAX_EXAMPLES = 4000
 MAX_TERMS = 4096
 BLOCK = 64
 NEIGHBOURS = 15
 #: Beginnings of words that are terms of their own, by length.
 STEMS = (4, 5, 6, 7, 8, 9)
 MIN_EXAMPLES = 3
+#: A term's association over this has a chance of 1 in 100.
+LEAST_CHI = 6.6
 CACHE_WORDS = 300_000
 
 _WORD = re.compile(r"\w+")
@@ -146,27 +148,35 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(b) for b in beta)
 
 
-def build(rows: list[tuple[int, int, list[tuple[str, int]]]]) -> Index | None:
-    """The index over (id, label, [(term, tf)]) rows; None without rows of both kinds."""
-    rows = sorted(rows, key=lambda r: r[0])
-    y = np.array([r[1] for r in rows], np.float64)
-    if len(set(y)) < 2:
-        return None
+def chosen_terms(rows: list[tuple[int, int, list[tuple[str, int]]]]) -> list[tuple[str, int, float]]:
+    """(term, examples that have it, chi square) of the terms most associated with the label."""
     has, toxic = Counter(), Counter()
     for _, label, terms in rows:
         has.update(t for t, _ in terms)
         if label:
             toxic.update(t for t, _ in terms)
-    n, positive = len(y), y.sum()
-    chi = {}
-    for t, a in has.items():
-        if a >= MIN_EXAMPLES and a < n:
-            expected = a * positive / n
-            chi[t] = (toxic[t] - expected) ** 2 * n / (expected * (n - positive) * (1 - a / n) + 1e-12) * n / max(n, 1)
-    # over 6.6 a term's association has a chance of 1 in 100
-    terms = sorted((t for t, c in chi.items() if c > 6.6), key=lambda t: (-chi[t], t))[:MAX_TERMS]
+    n, positive = len(rows), sum(r[1] for r in rows)
+    chi = {t: association(a, toxic[t], n, positive) for t, a in has.items() if MIN_EXAMPLES <= a < n}
+    return [(t, has[t], chi[t]) for t in sorted((t for t, c in chi.items() if c > LEAST_CHI), key=lambda t: (-chi[t], t))[:MAX_TERMS]]
+
+
+def association(has, toxic, n: int, positive: int):
+    """Chi square of a term and the label over n examples; numbers or columns."""
+    expected = has * (positive / n)
+    return (toxic - expected) * (toxic - expected) * n / (expected * (n - positive) * (1 - has / n) + 1e-12)
+
+
+def build(rows: list[tuple[int, int, list[tuple[str, int]]]], chosen: list[tuple[str, int, float]] | None = None) -> Index | None:
+    """The index over (id, label, [(term, tf)]) rows; None without rows of both kinds."""
+    rows = sorted(rows, key=lambda r: r[0])
+    y = np.array([r[1] for r in rows], np.float64)
+    if len(set(y)) < 2:
+        return None
+    n = len(y)
+    chosen = chosen_terms(rows) if chosen is None else chosen
+    terms = [t for t, _, _ in chosen]
     numbers = {t: i for i, t in enumerate(terms)}
-    weight = np.array([np.log((n + 1) / (has[t] + 0.5)) * np.sqrt(chi[t]) for t in terms])
+    weight = np.array([np.log((n + 1) / (a + 0.5)) * np.sqrt(c) for _, a, c in chosen])
     entries = []
     for e, (_, _, own) in enumerate(rows):
         known = [(numbers[t], tf) for t, tf in own if t in numbers]
@@ -190,29 +200,37 @@ def build(rows: list[tuple[int, int, list[tuple[str, int]]]]) -> Index | None:
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int, remainder: int, max_examples: int) -> tuple[Index | None, float]:
     """The index and the share of toxic examples."""
-    sample = labelled_sample(docs, labels, "toxic", modulus, remainder, max_examples)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sample = materialize(labelled_sample(docs, labels, "toxic", modulus, remainder, max_examples), "toxic-sample")
+    known = [(r["doc_id"], r["label"]) for r in sample.select("doc_id", "label").collect()]
+    n, positive = len(known), sum(y for _, y in known)
+    if not 0 < positive < n:
+        return None, positive / n if n else 0.0
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has, toxic = Counter(), Counter()
         for batch in slices(batches):
-            terms, counts = [], []
-            for text in texts_of(batch):
-                found: Counter = Counter()
-                for word, n in Counter(_WORD.findall(text.lower())).items():
-                    for t in terms_of(word):
-                        found[t] += n
-                terms.append(list(found))
-                counts.append(list(found.values()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(terms, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "label", "terms", "counts"])
-
-    rows = sample.mapInArrow(run, "doc_id long, label int, terms array<string>, counts array<int>")
-    # terms of too few examples can't be chosen: only the others reach the driver
-    from pyspark.sql import Window as W
-
-    flat = rows.select("doc_id", "label", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("doc_id", "label", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
-    kept = flat.withColumn("df", F.count("*").over(W.partitionBy("term"))).filter(F.col("df") >= MIN_EXAMPLES)
-    gathered = kept.groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("own"))
-    got = [(r["doc_id"], r["label"], [(t["term"], t["tf"]) for t in r["own"] or ()]) for r in sample.select("doc_id", "label").join(gathered, "doc_id", "left").collect()]
-    return build(got), sum(r[1] for r in got) / len(got) if got else 0.0
+            for text, label in zip(texts_of(batch), batch.column("label").to_pylist(), strict=True):
+                own = {t for word in set(_WORD.findall(text.lower())) for t in terms_of(word)}
+                has.update(own)
+                if label:
+                    toxic.update(own)
+        yield pa.RecordBatch.from_arrays([pa.array(list(has), pa.string()), pa.array(list(has.values()), pa.int64()), pa.array([toxic[t] for t in has], pa.int64())], ["term", "has", "toxic"])
+
+    counts = sample.select("text", "label").mapInArrow(count, "term string, has long, toxic long").groupBy("term").agg(F.sum("has").alias("has"), F.sum("toxic").alias("toxic"))
+    chi = association(F.col("has").cast("double"), F.col("toxic").cast("double"), n, positive).alias("chi")
+    best = counts.filter((F.col("has") >= MIN_EXAMPLES) & (F.col("has") < n)).select("term", "has", chi).filter(F.col("chi") > LEAST_CHI).orderBy(F.desc("chi"), "term").limit(MAX_TERMS)
+    chosen = [tuple(r) for r in best.collect()]
+    numbers = {t: i for i, (t, _, _) in enumerate(chosen)}
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Known(numbers)
+        for batch in slices(batches):
+            found = [words.counts(t) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["doc_id", "label", "terms", "counts"])
+
+    got = sample.mapInArrow(pick, "doc_id long, label int, terms array<int>, counts array<int>").collect()  # chosen terms of the sample alone
+    rows = [(r["doc_id"], r["label"], [(chosen[t][0], c) for t, c in zip(r["terms"], r["counts"], strict=True)]) for r in got]
+    return build(rows, chosen), positive / n
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int, neighbours array<long>, cosines array<double>, evidence array<string>"
