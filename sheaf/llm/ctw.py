@@ -83,16 +83,20 @@ class Slots:
 class Model:
     """Predictions of a context tree of some depth from counted strings of depth + 1 bytes.
 
-    What is sent and kept are sorted arrays; the table for look-ups is made
-    where the model arrives.
+    ``top`` are the nodes of the smaller depths, where they are known already:
+    the strings may then be a part of all, if they hold every string whose
+    context ends in the same len(top) bytes. ``roots`` are the smallest depth
+    made here: node numbers, counts of 0 and 1, and ln of the weighted
+    probability.
     """
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int):
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, top: tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...] = (), least: int | None = None):
         self.depth = depth
+        least = len(top) if least is None else least
         #: Of each depth: node numbers, weight of stopping, chance of a 1.
         self.nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         below: tuple[np.ndarray, np.ndarray] | None = None
-        for d in range(depth, -1, -1):
+        for d in range(depth, least - 1, -1):
             code, place = np.unique(grams & _U((1 << (8 * (d + 1))) - 1), return_inverse=True)
             total = np.bincount(place, counts)
             parts = []
@@ -104,28 +108,15 @@ class Model:
             order = np.argsort(key)
             key, n0, n1 = key[order], n0[order], n1[order]
             del parts, code, place, total
-            own_p = kt_block(n0, n1)
-            if below is None:
-                weighted, stop = own_p, np.ones(len(key))
-            else:
+            children = None
+            if below is not None:
                 # a child's number less its oldest context byte is its parent's
-                parent = np.searchsorted(key, parent_key(below[0], d + 1))
-                children = np.bincount(parent, below[1], len(key))
-                weighted = np.logaddexp(own_p, children) + math.log(0.5)
-                stop = np.exp(own_p + math.log(0.5) - weighted)
+                children = np.bincount(np.searchsorted(key, parent_key(below[0], d + 1)), below[1], len(key))
+            node, weighted = made(key, n0, n1, children)
+            self.nodes.insert(0, node)
             below = key, weighted
-            self.nodes.insert(0, (key, stop.astype(np.float32), ((n1 + 0.5) / (n0 + n1 + 1)).astype(np.float32)))
-        # what every counted string's last byte costs, ready for look-up
-        self.grams = np.sort(grams)
-        self.logs = np.concatenate([np.zeros(0), *(self.predicted(part) for part in np.array_split(self.grams, max(1, len(grams) // 100_000)))]).astype(np.float32)
-        self.known = Slots(self.grams, self.logs)
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "known"}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__ |= state
-        self.known = Slots(self.grams, self.logs)
+            self.roots = key, n0, n1, weighted
+        self.nodes[:0] = top
 
     def node(self, d: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(weight of stopping, chance of a 1, whether it is there) of nodes of a depth."""
@@ -164,13 +155,31 @@ class Model:
         return out
 
     def costs(self, grams: np.ndarray) -> np.ndarray:
-        """predicted(), from the ready table where it has the string."""
-        out, there = self.known.get(grams)
-        out = out.astype(np.float64)
-        if not there.all():
-            new, back = np.unique(grams[~there], return_inverse=True)
-            out[~there] = self.predicted(new)[back]
-        return out
+        """predicted(), once for each different string."""
+        new, back = np.unique(grams, return_inverse=True)
+        return np.concatenate([np.zeros(0), *(self.predicted(part) for part in np.array_split(new, len(new) // 100_000 + 1))])[back]
+
+
+def made(key: np.ndarray, n0: np.ndarray, n1: np.ndarray, children: np.ndarray | None) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """Nodes as Model keeps them, and ln of their weighted probability; children: that of all their children."""
+    own_p = kt_block(n0, n1)
+    if children is None:
+        weighted, stop = own_p, np.ones(len(key))
+    else:
+        weighted = np.logaddexp(own_p, children) + math.log(0.5)
+        stop = np.exp(own_p + math.log(0.5) - weighted)
+    return (key, stop.astype(np.float32), ((n1 + 0.5) / (n0 + n1 + 1)).astype(np.float32)), weighted
+
+
+def top_of(key: np.ndarray, n0: np.ndarray, n1: np.ndarray, children: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The nodes of depths 0 to ``depth``, from the sums of the roots below them."""
+    out = []
+    for d in range(depth, -1, -1):
+        node, weighted = made(key, n0, n1, children)
+        out.insert(0, node)
+        key, at = np.unique(parent_key(key, d), return_inverse=True)
+        n0, n1, children = (np.bincount(at, x, len(key)) for x in (n0, n1, weighted))
+    return out
 
 
 def parent_key(key: np.ndarray, depth: int) -> np.ndarray:

@@ -197,6 +197,22 @@ def test_lm_without_anything_to_learn(spark, corpus):
     assert lm_score.score(frame(spark, corpus).limit(0)).count() == 0
 
 
+def test_lm_keeps_its_depth_and_its_nodes_apart(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, " ".join("".join(rng.choices("abcde", k=rng.randrange(1, 6))) for _ in range(rng.randrange(0, 40)))) for i in range(90)] + [(None, "zq zq"), (3, "abc ab")]
+    monkeypatch.setattr(lm_score, "BUCKET_GRAMS", 40)
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 900)
+    # a cap on different strings, where there is one, is one that these texts exceed
+    monkeypatch.setattr(lm_score.score, "__defaults__", tuple(100 if d == 3_000_000 else d for d in lm_score.score.__defaults__))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for depth in (4, 1):
+        grams = [(d, ctw.grams_of(lm_score.stream_of(lm_score.words_of(t), depth), depth + 1)) for d, t in rows]
+        whole = ctw.Model(*np.unique(np.concatenate([g for d, g in grams if d is not None and fold(d, 10)]), return_counts=True), depth)
+        want = sorted((-1 if d is None else d, float(whole.costs(g).sum())) for d, g in grams)
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in lm_score.score(docs, depth=depth).collect())
+        assert [d for d, _ in got] == [d for d, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=1e-3)
+
+
 def brute_tree(data: list[tuple[bytes, int]], depth: int):
     """CTW by recursion over dictionaries."""
     counts: dict = {}
