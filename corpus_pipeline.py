@@ -8,6 +8,10 @@ from sheaf.llm import decontam, jaccard_join, packing, quality, secrets
 from sheaf.llm.common import materialize
 from sheaf.llm.queries import table, tokenizer_path
 
+#: The near-duplicate stage: words in a shingle, similarity as a fraction.
+NEAR_WORDS = 5
+NEAR_SIMILARITY = (80, 100)
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -16,7 +20,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that the n-gram Jaccard join links."""
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, NEAR_SIMILARITY, NEAR_WORDS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

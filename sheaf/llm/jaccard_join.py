@@ -155,19 +155,19 @@ def signatures(own: np.ndarray, band: int, a: int, b: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and the class of every row; the class is null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
-            sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
+            sets = [shingles(t, words, n) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n_shingles", "class"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary")
 
 
-def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
+def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]], similarity: tuple[int, int] = SIMILARITY, n: int = WORDS) -> DataFrame:
     """(signature, short class) rows, once a task for each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
         for batch in slices(batches):
             found, owner, times = [], [], []
             for text in batch.column("text").to_pylist():
-                own = shingles(text, words)
+                own = shingles(text, words, n)
                 if not len(own):
                     continue
                 short = int.from_bytes(class_of(own)[:8], "big", signed=True)
@@ -184,7 +184,7 @@ def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
                 if len(seen) >= 2_000_000:
                     seen.clear()
                 seen.add(short)
-                for band in bands_of(len(own)):
+                for band in bands_of(len(own), similarity):
                     got = signatures(own, band, *plan.get(band, (0, 0)))
                     found.append(got)
                     owner.append(short)
@@ -229,7 +229,7 @@ def parity(own: np.ndarray) -> tuple[int, bytes, bytes]:
     return k, np.packbits(bits).tobytes(), np.packbits(bits[: 1 << (k - 1)] ^ bits[1 << (k - 1) :]).tobytes()
 
 
-def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType, ...], schema: str) -> DataFrame:
+def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType, ...], schema: str, n: int = WORDS) -> DataFrame:
     """(class, made(elements) ...) of the classes whose representative rows are wanted (rep).
 
     A bitmap of fixed size keeps most other texts from being cut; what passes by
@@ -248,7 +248,7 @@ def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType
         for batch in slices(batches):
             p = batch.column("p").fill_null(0).to_numpy()
             batch = batch.filter(pa.array((sent.value[p // 64] >> (p % 64)) & 1 == 1))
-            rows = [(class_of(own), *made(own)) for t in batch.column("text").to_pylist() if len(own := shingles(t, words))]
+            rows = [(class_of(own), *made(own)) for t in batch.column("text").to_pylist() if len(own := shingles(t, words, n))]
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), *kinds), strict=True)], names)
 
@@ -256,14 +256,14 @@ def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType
     return at.mapInArrow(run, schema)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    return of_wanted(docs, wanted, lambda own: (own.view(np.int64),), (pa.list_(pa.int64()),), "class binary, elements array<long>")
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
+    return of_wanted(docs, wanted, lambda own: (own.view(np.int64),), (pa.list_(pa.int64()),), "class binary, elements array<long>", n)
 
 
-def sketches_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def sketches_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
     as_longs = lambda b: np.frombuffer(b, ">i8").astype(np.int64)
     made = lambda own: (lambda k, full, half: (k, as_longs(full), as_longs(half)))(*parity(own))
-    return of_wanted(docs, wanted, made, (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), "class binary, k int, full array<long>, half array<long>").dropDuplicates(["class"])
+    return of_wanted(docs, wanted, made, (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), "class binary, k int, full array<long>, half array<long>", n).dropDuplicates(["class"])
 
 
 def may_reach(x: str, y: str, similarity: tuple[int, int]) -> Column:
@@ -275,10 +275,10 @@ def may_reach(x: str, y: str, similarity: tuple[int, int]) -> Column:
     return near & ((similarity[0] + similarity[1]) * (n - apart) >= 2 * similarity[0] * n)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: tuple[int, int], n: int = WORDS) -> DataFrame:
     """The (a, b) class pairs whose sets reach the similarity."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class")
-    sets = sets_of(docs, wanted)
+    sets = sets_of(docs, wanted, n)
     left = sets.select(F.col("class").alias("a"), F.col("elements").alias("of_a"))
     right = sets.select(F.col("class").alias("b"), F.col("elements").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -286,21 +286,23 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity:
     return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
 
 
-def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; words: how many are in a shingle."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(sized(docs), "jaccard-rows")
+    rows = materialize(sized(docs, words), "jaccard-rows")
     classes = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     classes = materialize(classes, "jaccard-classes")
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(BAND))) + 1e-9).cast("int")
     counts = {r["band"]: (r["sets"], r["size"]) for r in classes.groupBy(own.alias("band")).agg(F.count("*").alias("sets"), F.avg("n").alias("size")).collect()}
+    # a set is indexed in its own band and those of the largest partners it may have
+    reach = 2 + int(np.log(similarity[1] / similarity[0]) / np.log(BAND))
     plan = {}
-    for band in sorted({b + k for b in counts for k in (0, 1)}):
+    for band in sorted({b + k for b in counts for k in range(reach)}):
         sets, size = counts.get(band, (0, BAND**band))
-        plan[band] = allocation(difference(band, similarity), size, sets + counts.get(band - 1, (0, 0))[0])
+        plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)))
 
-    buckets = materialize(first_of_bucket(indexed(docs, plan)), "jaccard-buckets")
+    buckets = materialize(first_of_bucket(indexed(docs, plan, similarity, words)), "jaccard-buckets")
     short = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
     named = classes.filter("rep IS NOT NULL").select(short.alias("short"), "class", "n")
 
@@ -312,7 +314,7 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame
         return links.join(one, "s").join(two, "t").filter(near).select("a", "b")
 
     tried = materialize(pairs_of(buckets.select(F.col("first").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")
-    linked = materialize(verified(tried, docs, classes, similarity), "jaccard-links")
+    linked = materialize(verified(tried, docs, classes, similarity, words), "jaccard-links")
     found = materialize(connected_components(linked), "jaccard-found")
 
     # classes that share a bucket, but neither with its first class nor in one component so far
@@ -321,13 +323,13 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame
     mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
     open_ = materialize(marked.join(mixed_, "sig"), "jaccard-open")
     wanted = open_.select("short").distinct().join(named.select("short", "class"), "short").join(classes.select("class", "rep"), "class")
-    sketches = sketches_of(docs, wanted).join(named.select("class", "short"), "class").drop("class")
+    sketches = sketches_of(docs, wanted, words).join(named.select("class", "short"), "class").drop("class")
     open_ = materialize(open_.join(sketches, "short"), "jaccard-open")
     x, y = open_.alias("x"), open_.alias("y")
     rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_reach("x", "y", similarity))
     rest = materialize(pairs_of(rest.select(F.col("x.short").alias("s"), F.col("y.short").alias("t")).distinct()), "jaccard-rest")
     if not rest.isEmpty():
-        linked = linked.unionByName(verified(rest, docs, classes, similarity))
+        linked = linked.unionByName(verified(rest, docs, classes, similarity, words))
         found = materialize(connected_components(linked), "jaccard-found")
 
     grouped = classes.join(found, classes["class"] == found["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "rep")
@@ -336,14 +338,14 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame
     return rows.join(named_, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+def one_of_each(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS) -> DataFrame:
     """One row of each component, that of the smallest id, with all its columns.
 
     Rows without an id stay; of rows that repeat id and text one stays. An id
     with several texts keeps them all, since no row of it stands for the others.
     """
     doc_id = F.col("doc_id").cast("long")
-    ids = join(docs, similarity).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
+    ids = join(docs, similarity, words).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
     ids = materialize(ids.agg(F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")), "jaccard-ids")
     kept = docs.join(ids.filter("low = high AND low <> _other").select("_other"), doc_id == F.col("_other"), "left_anti")
     twice = ids.filter("n > 1").select("_other")

@@ -341,6 +341,39 @@ def test_one_of_each_keeps_columns_and_groups(spark, corpus):
     assert jaccard_join.join(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("share", "words"), [((80, 100), 5), ((60, 100), 2)])
+def test_jaccard_join_with_other_shingles_equals_brute_force(spark, share, words):
+    rng = random.Random(18)
+    rows = []
+    for g in range(14):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 7, 12, 24, 40, 120, 300]))]
+        for k in range(8):
+            own = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // (12 if words == 5 else 6)))):
+                own[rng.randrange(len(own))] = f"z{rng.randrange(9)}"
+            rows.append((g * 10 + k, " ".join(own + [f"t{j}" for j in range(rng.randrange(0, len(base) // 4 + 1))])))
+    sets = [{tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for w in (t.split() for _, t in rows)]
+    label = {d: d for d, _ in rows}
+    for i, j in ((i, j) for i in range(len(rows)) for j in range(i)):
+        both = len(sets[i] & sets[j])
+        if share[1] * both >= share[0] * (len(sets[i] | sets[j])):
+            low, high = sorted((label[rows[i][0]], label[rows[j][0]]))
+            label = {d: low if c == high else c for d, c in label.items()}
+    got = [tuple(r) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), share, words).collect()]
+    assert by_id(got) == by_id([(d, len(s), label[d]) for (d, _), s in zip(rows, sets, strict=True)])
+    assert len(set(label.values())) < len(rows)
+
+
+def test_pipeline_drops_near_copies(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words), 0.5), (2, " ".join(words + [f"tail{i}" for i in range(50)]), 0.5), (3, " ".join(words[:200] + [f"other{i}" for i in range(100)]), 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source double")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 3}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 103), (50, 40), (40, 50), (7, 7)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
