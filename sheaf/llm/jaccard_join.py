@@ -49,7 +49,7 @@ SIMILARITY = (90, 100)
 WORDS = 3
 #: A band's sizes are within this factor.
 BAND = 1.35
-#: Cost model: chance that two sets of a band share an element, cost of a chance pair in index rows.
+#: Cost model: chance that two sets of a band share an element of WORDS words, cost of a chance pair in index rows.
 SHARED = 0.2
 PAIR_COST = 4.0
 #: Bits of the filter that keeps texts out of the verification.
@@ -108,7 +108,7 @@ def difference(band: int, similarity: tuple[int, int] = SIMILARITY) -> int:
     return (similarity[1] - similarity[0]) * 2 * largest // (similarity[1] + similarity[0])
 
 
-def allocation(h: int, size: float, sets: int) -> tuple[int, int]:
+def allocation(h: int, size: float, sets: int, shared: float = SHARED) -> tuple[int, int]:
     """(exact, deletion) segments for a band that may differ in h elements, by cost."""
     if h == 0:
         return 0, 0
@@ -119,7 +119,7 @@ def allocation(h: int, size: float, sets: int) -> tuple[int, int]:
             continue
         unit = size / (a + 2 * b)
         rows = a + b * (1 + 2 * unit)
-        chance = a * SHARED**unit + b * SHARED ** max(1.0, 2 * unit - 1)
+        chance = a * shared**unit + b * shared ** max(1.0, 2 * unit - 1)
         choices.append((rows + PAIR_COST * sets * chance, b, a))
     cost, b, a = min(choices)
     return a, b
@@ -300,7 +300,7 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
     plan = {}
     for band in sorted({b + k for b in counts for k in range(reach)}):
         sets, size = counts.get(band, (0, BAND**band))
-        plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)))
+        plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)), SHARED ** (words / WORDS))
 
     buckets = materialize(first_of_bucket(indexed(docs, plan, similarity, words)), "jaccard-buckets")
     short = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
