@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import held_out, labelled_sample, materialize, slices, small_batches, texts_of
 
-MAX_EXAMPLES = 4000
+MAX_EXAMPLES = 8000
 MAX_TERMS = 4096
 BLOCK = 64
 NEIGHBOURS = 15

@@ -138,6 +138,13 @@ def test_toxicity(spark, corpus):
     assert {r.score for r in toxicity.score(docs, labels(spark, corpus).limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_up_to_8000_examples(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels, modulus, remainder, most: asked.append(most) or (None, 0.0))
+    toxicity.score(spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
+    assert asked == [8000]
+
+
 def test_block_max_neighbours_are_exact():
     rng = random.Random(5)
     terms = [f"t{i}" for i in range(60)]
