@@ -135,8 +135,9 @@ def top_k(vectors: DataFrame, is_query, k: int = K, chunk: int = CHUNK, group: i
     bin_of = F.floor(8 * F.log2(F.col("far") + 1)).alias("bin")
     cells = [tuple(r) for r in placed.groupBy("cell", bin_of).agg(F.count_distinct("vec_id").alias("n"), F.max("far")).collect()]
     groups = [tuple(r) for r in placed.filter("query").groupBy("cell").agg(F.max("far"), F.max("length")).collect()]
-    # one more than k, as a query is no candidate of its own
-    reach = bounds(pivots, cells, groups, k + 1)
+    # a query is no candidate of its own, and each of its id's vectors may be counted in another bin
+    own_rows = placed.filter("query").groupBy("vec_id").agg(F.count_distinct("x").alias("n")).agg(F.max("n")).first()[0]
+    reach = bounds(pivots, cells, groups, k + own_rows)
     parts = {r[0]: -(-r[1] // group) for r in placed.filter("query").groupBy("cell").count().collect()}
     chunks = -(-n // chunk)
     targets = sorted(reach)

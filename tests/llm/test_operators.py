@@ -78,6 +78,16 @@ def test_knn_equals_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_knn_of_an_id_with_many_vectors(spark):
+    # the id's own vectors fill more than k bins around the centre, which repeated rows hold in place; all others are far away
+    rows = [(0, [100.0])] * 400 + [(0, [100 + 2 ** (k / 2) / 16]) for k in range(12)] + [(i, [-float(i)]) for i in (20, 21)]
+    got = knn_join.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=7).collect()
+    queries, others = ({(i, math.floor(64 * e[0])) for i, e in rows if (i == 0) == own} for own in (True, False))
+    # every vector of the id asks; the seven best scores of all are kept
+    want = sorted((-q * x, i) for _, q in queries for i, x in others)[:7]
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
 def test_knn_large_values_and_empty(spark):
     df = spark.createDataFrame([(0, [3e7, 1.0]), (20, [2e7, 5.0]), (21, [1e7, 9.0])], "vec_id long, embedding array<double>")
     got = {(r.query_id, r.vec_id): r.score for r in knn_join.top_k(df, F.col("vec_id") % 20 == 0).collect()}
