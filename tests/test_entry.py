@@ -7,6 +7,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 import __spark_entry__ as entry
 
 ROOT = Path(__file__).parent.parent
@@ -17,7 +19,10 @@ def test_every_sql_has_a_query():
     assert {"block_kinds", "asof_parent", "markdown_blocks"} <= set(entry.queries())
 
 
-def test_import_without_optional_parts(tmp_path):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_import_without_optional_parts(tmp_path, pipeline):
+    if pipeline and (ROOT / "corpus_pipeline.py").exists():
+        shutil.copy(ROOT / "corpus_pipeline.py", tmp_path)
     shutil.copytree(ROOT / "sheaf", tmp_path / "sheaf", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; names = [*e.queries(), *e.oracle_sql()]; assert not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in names), names; print(len(names))"
