@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,13 +22,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+#: The folder of a process whose local session names none.
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; one of our own where it is unset."""
+    """The shared folder that spark.checkpoint.dir names; a local session may do without."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
-    own = "file://" + tempfile.mkdtemp(prefix="sheaf-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _OWN:
+        _OWN.append("file://" + tempfile.mkdtemp(prefix="sheaf-"))
+    return _OWN[0]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,11 +47,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a materialized table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.sheaf_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.sheaf_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold_of(doc_id: str | Column, modulus: int) -> Column:

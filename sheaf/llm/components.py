@@ -41,4 +41,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if seen == mark:
             break
         mark = seen
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = materialize(now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), "components")
+    discard(now)
+    return out

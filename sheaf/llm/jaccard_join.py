@@ -10,6 +10,14 @@ element deleted. One unit more than that is spent where exact segments occur,
 so that an empty exact segment, which tells nothing, need not be indexed on its
 own: only subsets of two empty segments are.
 
+A band may have more exact segments than it indexes. If T of them are there and
+a are indexed, T - (H - 2b) still agree, so any order that all sets share makes
+the first a of two similar sets meet. Segments are ordered by their rarest
+element, rarest first: what many texts hold alike (licenses, lines of a host) is
+passed over as long as a set has anything of its own. How frequent an element is
+comes from counters of fixed number that are filled in the first pass; they
+affect cost, never results.
+
 How many segments of each kind a band gets is decided by cost: rows to index
 against pairs that agree by chance, which grow with the square of the number of
 sets in the band and fall with the elements in a segment. Bands whose sets may
@@ -19,10 +27,10 @@ equal sets are similar there is nothing to index.
 Sets that are equal are one class from the start. In a signature's bucket every
 class is tried against the bucket's first class alone; what that links becomes
 one component. Only classes of one bucket that are still in different components
-then meet each other, so a bucket of near copies costs its size, not its square;
-and they meet by parity sketches, whose distance never exceeds that of the sets,
-so only pairs that may reach the similarity are ever emitted. Every candidate is
-verified on the full sets.
+then meet each other, so a bucket of near copies costs its size, not its square.
+All pairs pass parity sketches first, which are made once a class and whose
+distance never exceeds that of the sets; what is left is verified on the full
+sets.
 
 Shingles are hashed to 64 bits and classes to 128. Defined results: null and
 empty texts, and texts without words, have 0 shingles and are linked with
@@ -41,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import materialize, slices, small_batches
+from sheaf.llm.common import discard, materialize, slices, small_batches
 from sheaf.llm.components import connected_components
 
 #: Similarity as a fraction, words in a shingle.
@@ -49,9 +57,15 @@ SIMILARITY = (90, 100)
 WORDS = 3
 #: A band's sizes are within this factor.
 BAND = 1.35
-#: Cost model: chance that two sets of a band share an element of WORDS words, cost of a chance pair in index rows.
+#: Cost model: chance that two sets of a band share an element of WORDS words, or one of their rarest;
+#: elements in a segment where more are there than are indexed; cost of a chance pair in index rows.
 SHARED = 0.2
+RARE = 1e-3
+UNIT = 2
 PAIR_COST = 4.0
+#: log2 of the counters of elements; counters that a task passes on and that all tasks get, the fullest ones, at most.
+COUNTER_BITS = 22
+PASSED, KNOWN = 1 << 16, 1 << 17
 #: Bits of the filter that keeps texts out of the verification.
 FILTER_BITS = 24
 CACHE_WORDS = 400_000
@@ -87,7 +101,10 @@ def shingles(text: str | None, words: WordHashes, n: int = WORDS) -> np.ndarray:
     h = np.full(len(w) - size + 1, size, np.uint64)
     for k in range(size):
         h = mixed(h ^ w[k : k + len(h)]) * _ODD[k]
-    return np.unique(mixed(h))
+    h = np.sort(mixed(h))
+    first = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=first[1:])
+    return h[first]
 
 
 def class_of(own: np.ndarray) -> bytes:
@@ -108,70 +125,112 @@ def difference(band: int, similarity: tuple[int, int] = SIMILARITY) -> int:
     return (similarity[1] - similarity[0]) * 2 * largest // (similarity[1] + similarity[0])
 
 
-def allocation(h: int, size: float, sets: int, shared: float = SHARED) -> tuple[int, int]:
-    """(exact, deletion) segments for a band that may differ in h elements, by cost."""
+def allocation(h: int, size: float, sets: int, shared: float = SHARED, rare: float = RARE) -> tuple[int, int, int]:
+    """(exact segments to index, exact segments there are, deletion segments) for a band that may differ in h elements, by cost."""
     if h == 0:
-        return 0, 0
+        return 0, 0, 0
     choices = []
     for b in sorted({0, *(int(x) for x in np.linspace(1, (h + 2) // 2, 9))}):
         a = max(0, h + 2 - 2 * b)
         if not a and 2 * (b - 1) >= h + 1:
             continue
-        unit = size / (a + 2 * b)
-        rows = a + b * (1 + 2 * unit)
-        chance = a * shared**unit + b * shared ** max(1.0, 2 * unit - 1)
-        choices.append((rows + PAIR_COST * sets * chance, b, a))
-    cost, b, a = min(choices)
-    return a, b
+        for total in {a, max(a, round(size / UNIT) - 2 * b) if a else 0}:
+            unit = size / (total + 2 * b)
+            rows = a + b * (1 + 2 * unit)
+            chance = a * (rare if total > a else shared) ** unit + b * shared ** max(1.0, 2 * unit - 1)
+            choices.append((rows + PAIR_COST * sets * chance, b, a, total))
+    cost, b, a, total = min(choices)
+    return a, total, b
+
 
+def signatures(own: np.ndarray, band: int, a: int, b: int, total: int | None = None, levels: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the first a exact segments of a set, of deletions in the others, and of pairs of empty ones.
 
-def signatures(own: np.ndarray, band: int, a: int, b: int) -> np.ndarray:
-    """Hashes of the segments of a set, of deletions in them, and of pairs of empty ones."""
-    if not a + b:
+    total: exact segments there are, a if not given; levels: how frequent each
+    element is, which orders them.
+    """
+    total = a if total is None else total
+    if not total + b:
         return np.zeros(0, np.uint64)
     salt = _U(band * 0x9E3779B97F4A7C15 & (2**64 - 1))
-    unit = (mixed(own ^ salt) >> _U(33)) % _U(a + 2 * b)
-    segment = np.where(unit < a, unit, a + (unit - _U(a)) // _U(2)).astype(np.int64) if a else (unit // _U(2)).astype(np.int64)
+    unit = (mixed(own ^ salt) >> _U(33)) % _U(total + 2 * b)
+    segment = np.where(unit < total, unit, total + (unit - _U(total)) // _U(2)).astype(np.int64) if total else (unit // _U(2)).astype(np.int64)
     value = mixed(own * _ODD[10])
-    total, count = np.zeros(a + b, np.uint64), np.bincount(segment, minlength=a + b).astype(np.uint64)
+    added, count = np.zeros(total + b, np.uint64), np.bincount(segment, minlength=total + b).astype(np.uint64)
     order = np.argsort(segment, kind="stable")
-    begins = np.flatnonzero(np.r_[True, np.diff(segment[order]) > 0])
-    total[segment[order][begins]] = np.add.reduceat(value[order], begins)
+    first = np.ones(len(own), bool)
+    np.not_equal(segment[order[1:]], segment[order[:-1]], out=first[1:])
+    begins = np.flatnonzero(first)
+    there = segment[order[begins]]
+    added[there] = np.add.reduceat(value[order], begins)
 
     def signed(s: np.ndarray, t: np.ndarray, n: np.ndarray) -> np.ndarray:
         return mixed(t ^ mixed(s.astype(np.uint64) * _ODD[11] ^ n * _ODD[12] ^ salt))
 
-    at = np.arange(a + b)
-    full = signed(at, total, count)
-    out = [full[(count > 0) | (at >= a)]]
-    loose = segment >= a
+    full = signed(np.arange(total + b), added, count)
+    kept = np.arange(total)
+    if total > a:
+        level = np.full(total + b, 255, np.uint8)
+        level[there] = np.minimum.reduceat(levels[order], begins) if levels is not None else 0
+        kept = np.lexsort((full[:total], level[:total]))[:a]
+    out = [full[kept[count[kept] > 0]], full[total:]]
+    loose = segment >= total
     if b and loose.any():
         s = segment[loose]
-        out.append(signed(s, total[s] - value[loose], count[s] - _U(1)))
-    empty = np.flatnonzero(count[:a] == 0)
+        out.append(signed(s, added[s] - value[loose], count[s] - _U(1)))
+    empty = np.sort(kept[count[kept] == 0])
     if len(empty) > 1:
         i, j = np.triu_indices(len(empty), 1)
-        out.append(mixed((empty[i] * (a + 1) + empty[j] + 1).astype(np.uint64) * _ODD[13] ^ salt))
-    return np.unique(np.concatenate(out))
+        out.append(mixed((empty[i] * (total + 1) + empty[j] + 1).astype(np.uint64) * _ODD[13] ^ salt))
+    return np.concatenate(out)
+
+
+def counter_of(own: np.ndarray) -> np.ndarray:
+    return (own >> _U(64 - COUNTER_BITS)).astype(np.int64)
 
 
 def sized(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and the class of every row; the class is null without shingles."""
+    """doc_id, n_shingles, class and sketch of every row; class and sketch are null without shingles.
+
+    Beside them, a row of each task has the counters (slots, counts) that are
+    fuller there than others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        words, counters, total = WordHashes(), np.zeros(1 << COUNTER_BITS, np.uint32), 0
         for batch in slices(batches):
             sets = [shingles(t, words, n) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n_shingles", "class"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary")
-
-
-def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]], similarity: tuple[int, int] = SIMILARITY, n: int = WORDS) -> DataFrame:
+            for own in sets:
+                counters[counter_of(own)] += 1
+                total += len(own)
+            none = pa.nulls(len(sets), pa.list_(pa.int32()))
+            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()), pa.array([parity(s) if len(s) else None for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, none, none], names)
+        full = np.flatnonzero(counters > 4 + 4 * total / len(counters))
+        if len(full) > PASSED:
+            full = full[np.argpartition(counters[full], len(full) - PASSED)[len(full) - PASSED :]]
+        lists = [pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (full, np.minimum(counters[full], 2**31 - 1))]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.list_(pa.int64())), *lists], names)
+
+    names = ["doc_id", "n_shingles", "class", "sketch", "slots", "counts"]
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, sketch array<long>, slots array<int>, counts array<int>")
+
+
+def levels_of(rows: DataFrame) -> np.ndarray:
+    """How full each counter is, as a logarithm; 0 for those that no task passed on."""
+    each = rows.filter("slots IS NOT NULL").select(F.explode(F.arrays_zip("slots", "counts")).alias("c")).groupBy(F.col("c.slots").alias("slot")).agg(F.sum("c.counts").alias("n"))
+    top = each.orderBy(F.desc("n"), "slot").limit(KNOWN).toArrow()
+    out = np.zeros(1 << COUNTER_BITS, np.uint8)
+    out[top.column("slot").to_numpy()] = 1 + np.log2(top.column("n").to_numpy().astype(float)).astype(np.uint8)
+    return out
+
+
+def indexed(docs: DataFrame, plan: dict[int, tuple[int, int, int]], levels: np.ndarray, similarity: tuple[int, int] = SIMILARITY, n: int = WORDS) -> DataFrame:
     """(signature, short class) rows, once a task for each class."""
+    sent = docs.sparkSession.sparkContext.broadcast(levels)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordHashes(), set()
+        words, seen, known = WordHashes(), set(), sent.value
         for batch in slices(batches):
             found, owner, times = [], [], []
             for text in batch.column("text").to_pylist():
@@ -184,8 +243,10 @@ def indexed(docs: DataFrame, plan: dict[int, tuple[int, int]], similarity: tuple
                 if len(seen) >= 2_000_000:
                     seen.clear()
                 seen.add(short)
+                level = known[counter_of(own)]
                 for band in bands_of(len(own), similarity):
-                    got = signatures(own, band, *plan.get(band, (0, 0)))
+                    a, total, b = plan.get(band, (0, 0, 0))
+                    got = signatures(own, band, a, b, total, level)
                     found.append(got)
                     owner.append(short)
                     times.append(len(got))
@@ -218,19 +279,20 @@ def first_of_bucket(rows: DataFrame) -> DataFrame:
     return rows.repartition("sig").sortWithinPartitions("sig", "short").mapInArrow(run, "sig long, first long, short long")
 
 
-def parity(own: np.ndarray) -> tuple[int, bytes, bytes]:
-    """log2 of the bits, the parity sketch of a set, and the sketch folded to half its bits.
+def parity(own: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set: about as many bits as it has elements, a power of two.
 
     A bit is the parity of the elements that fall on it, so two sets differ in
-    at least as many elements as their sketches differ in bits.
+    at least as many elements as their sketches differ in bits; a sketch's
+    halves differ where that of half the bits has a one.
     """
     k = max(7, int(len(own) - 1).bit_length())
     bits = (np.bincount((mixed(own * _ODD[14]) & _U((1 << k) - 1)).astype(np.int64), minlength=1 << k) & 1).astype(np.uint8)
-    return k, np.packbits(bits).tobytes(), np.packbits(bits[: 1 << (k - 1)] ^ bits[1 << (k - 1) :]).tobytes()
+    return np.packbits(bits).view(">i8").astype(np.int64)
 
 
-def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType, ...], schema: str, n: int = WORDS) -> DataFrame:
-    """(class, made(elements) ...) of the classes whose representative rows are wanted (rep).
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
+    """(class, elements) of the classes whose representative rows are wanted (rep).
 
     A bitmap of fixed size keeps most other texts from being cut; what passes by
     chance finds no partner in the join that follows.
@@ -241,43 +303,38 @@ def of_wanted(docs: DataFrame, wanted: DataFrame, made, kinds: tuple[pa.DataType
     for w, bits in words_:
         bitmap[w] = bits
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
             p = batch.column("p").fill_null(0).to_numpy()
             batch = batch.filter(pa.array((sent.value[p // 64] >> (p % 64)) & 1 == 1))
-            rows = [(class_of(own), *made(own)) for t in batch.column("text").to_pylist() if len(own := shingles(t, words, n))]
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), *kinds), strict=True)], names)
+            found = [own for t in batch.column("text").to_pylist() if len(own := shingles(t, words, n))]
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["class", "elements"])
 
     at = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("p"), "text")
-    return at.mapInArrow(run, schema)
-
-
-def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
-    return of_wanted(docs, wanted, lambda own: (own.view(np.int64),), (pa.list_(pa.int64()),), "class binary, elements array<long>", n)
+    return at.mapInArrow(run, "class binary, elements array<long>").dropDuplicates(["class"])
 
 
-def sketches_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
-    as_longs = lambda b: np.frombuffer(b, ">i8").astype(np.int64)
-    made = lambda own: (lambda k, full, half: (k, as_longs(full), as_longs(half)))(*parity(own))
-    return of_wanted(docs, wanted, made, (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), "class binary, k int, full array<long>, half array<long>", n).dropDuplicates(["class"])
+def may_reach(x: str, y: str, similarity: tuple[int, int]) -> Column:
+    """Whether sizes (x, y with _n) and sketches (with _sketch) leave two classes the similarity."""
+    n_x, n_y = F.col(f"{x}_n"), F.col(f"{y}_n")
 
+    def as_wide_as(own: str, other: str) -> Column:
+        """A sketch, folded where the other has half as many bits."""
+        one, width = F.col(f"{own}_sketch"), F.size(f"{other}_sketch")
+        return F.when(F.size(one) > width, F.zip_with(F.slice(one, F.lit(1), width), F.slice(one, width + 1, width), lambda p, q: p.bitwiseXOR(q))).otherwise(one)
 
-def may_reach(x: str, y: str, similarity: tuple[int, int]) -> Column:
-    """Whether sizes and sketches leave two classes the similarity."""
-    n = F.col(f"{x}.n") + F.col(f"{y}.n")
-    pick = lambda a, b: F.when(F.col(f"{a}.k") > F.col(f"{b}.k"), F.col(f"{a}.half")).otherwise(F.col(f"{a}.full"))
-    apart = F.aggregate(F.zip_with(pick(x, y), pick(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
-    near = similarity[0] * F.greatest(f"{x}.n", f"{y}.n") <= similarity[1] * F.least(f"{x}.n", f"{y}.n")
-    return near & ((similarity[0] + similarity[1]) * (n - apart) >= 2 * similarity[0] * n)
+    apart = F.aggregate(F.zip_with(as_wide_as(x, y), as_wide_as(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
+    near = similarity[0] * F.greatest(n_x, n_y) <= similarity[1] * F.least(n_x, n_y)
+    # sets that are near in size, but whose widths are more than a factor of two apart, are not compared by sketch
+    wide = F.greatest(F.size(f"{x}_sketch"), F.size(f"{y}_sketch")) > 2 * F.least(F.size(f"{x}_sketch"), F.size(f"{y}_sketch"))
+    return near & (wide | ((similarity[0] + similarity[1]) * (n_x + n_y - apart) >= 2 * similarity[0] * (n_x + n_y)))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: tuple[int, int], n: int = WORDS) -> DataFrame:
     """The (a, b) class pairs whose sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "rep"), "class")
     sets = sets_of(docs, wanted, n)
     left = sets.select(F.col("class").alias("a"), F.col("elements").alias("of_a"))
     right = sets.select(F.col("class").alias("b"), F.col("elements").alias("of_b"))
@@ -290,9 +347,11 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
     """doc_id, n_shingles and component_id of every row; words: how many are in a shingle."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialize(sized(docs, words), "jaccard-rows")
-    classes = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    classes = materialize(classes, "jaccard-classes")
+    made = materialize(sized(docs, words), "jaccard-rows")
+    rows = made.filter("slots IS NULL").select("doc_id", "n_shingles", "class")
+    short = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
+    classes = made.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes.select("class", short.alias("short"), "rep", "n", "sketch"), "jaccard-classes")
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(BAND))) + 1e-9).cast("int")
     counts = {r["band"]: (r["sets"], r["size"]) for r in classes.groupBy(own.alias("band")).agg(F.count("*").alias("sets"), F.avg("n").alias("size")).collect()}
     # a set is indexed in its own band and those of the largest partners it may have
@@ -300,53 +359,58 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
     plan = {}
     for band in sorted({b + k for b in counts for k in range(reach)}):
         sets, size = counts.get(band, (0, BAND**band))
-        plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)), SHARED ** (words / WORDS))
+        plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)), SHARED ** (words / WORDS), RARE ** (words / WORDS))
 
-    buckets = materialize(first_of_bucket(indexed(docs, plan, similarity, words)), "jaccard-buckets")
-    short = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
-    named = classes.filter("rep IS NOT NULL").select(short.alias("short"), "class", "n")
+    buckets = materialize(first_of_bucket(indexed(docs, plan, levels_of(made), similarity, words)), "jaccard-buckets")
+    named = classes.filter("rep IS NOT NULL")
 
     def pairs_of(links: DataFrame) -> DataFrame:
-        """Classes for pairs of short ones, if their sizes allow the similarity."""
-        one = named.select(F.col("short").alias("s"), F.col("class").alias("a"), F.col("n").alias("n_a"))
-        two = named.select(F.col("short").alias("t"), F.col("class").alias("b"), F.col("n").alias("n_b"))
-        near = similarity[0] * F.greatest("n_a", "n_b") <= similarity[1] * F.least("n_a", "n_b")
-        return links.join(one, "s").join(two, "t").filter(near).select("a", "b")
+        """Classes for pairs (s, t) of short ones whose sizes and sketches allow the similarity."""
+        one, two = (named.select(F.col("short").alias(s), F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_sketch")) for s, c in (("s", "a"), ("t", "b")))
+        return links.join(one, "s").join(two, "t").filter(may_reach("a", "b", similarity)).select("a", "b")
 
     tried = materialize(pairs_of(buckets.select(F.col("first").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")
     linked = materialize(verified(tried, docs, classes, similarity, words), "jaccard-links")
-    found = materialize(connected_components(linked), "jaccard-found")
+    found = connected_components(linked)
 
     # classes that share a bucket, but neither with its first class nor in one component so far
-    label = named.join(found, named["class"] == found["node"], "left").select("short", F.coalesce("component", "class").alias("component"), "n")
+    label = named.join(found, named["class"] == found["node"], "left").select("short", F.coalesce("component", "class").alias("component"))
     marked = buckets.select("sig", "short").join(label, "short")
     mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
     open_ = materialize(marked.join(mixed_, "sig"), "jaccard-open")
-    wanted = open_.select("short").distinct().join(named.select("short", "class"), "short").join(classes.select("class", "rep"), "class")
-    sketches = sketches_of(docs, wanted, words).join(named.select("class", "short"), "class").drop("class")
-    open_ = materialize(open_.join(sketches, "short"), "jaccard-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & may_reach("x", "y", similarity))
-    rest = materialize(pairs_of(rest.select(F.col("x.short").alias("s"), F.col("y.short").alias("t")).distinct()), "jaccard-rest")
+    discard(buckets, tried)
+    held = open_.join(named.select("short", "n", "sketch"), "short")
+    x, y = (held.select("sig", *(F.col(c).alias(f"{side}_{c}") for c in ("short", "component", "n", "sketch"))) for side in ("x", "y"))
+    rest = x.join(y, "sig").filter((F.col("x_component") < F.col("y_component")) & may_reach("x", "y", similarity))
+    rest = rest.select(F.col("x_short").alias("s"), F.col("y_short").alias("t")).distinct()
+    one, two = (named.select(F.col("short").alias(s), F.col("class").alias(c)) for s, c in (("s", "a"), ("t", "b")))
+    rest = materialize(rest.join(one, "s").join(two, "t").select("a", "b"), "jaccard-rest")
     if not rest.isEmpty():
-        linked = linked.unionByName(verified(rest, docs, classes, similarity, words))
-        found = materialize(connected_components(linked), "jaccard-found")
+        more = materialize(linked.unionByName(verified(rest, docs, classes, similarity, words)), "jaccard-links")
+        discard(linked, found)
+        linked, found = more, connected_components(more)
+    discard(open_, rest, linked)
 
     grouped = classes.join(found, classes["class"] == found["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "rep")
     least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
     named_ = grouped.join(least, "component").select("class", "component_id")
-    return rows.join(named_, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = rows.join(named_, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out.sheaf_tables = (made, classes, found)
+    return out
 
 
 def one_of_each(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS) -> DataFrame:
     """One row of each component, that of the smallest id, with all its columns.
 
-    Rows without an id stay; of rows that repeat id and text one stays. An id
-    with several texts keeps them all, since no row of it stands for the others.
+    Rows without an id stay, as do null and empty texts; of rows that repeat id
+    and text one stays. An id with several texts keeps them all, since no row of
+    it stands for the others. An empty table gives no rows.
     """
     doc_id = F.col("doc_id").cast("long")
-    ids = join(docs, similarity, words).filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
+    joined = join(docs, similarity, words)
+    ids = joined.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
     ids = materialize(ids.agg(F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")), "jaccard-ids")
+    discard(*joined.sheaf_tables)
     kept = docs.join(ids.filter("low = high AND low <> _other").select("_other"), doc_id == F.col("_other"), "left_anti")
     twice = ids.filter("n > 1").select("_other")
     if twice.isEmpty():
