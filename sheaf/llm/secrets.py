@@ -9,9 +9,9 @@ The method then looks for weak parts, which are reported only where they
 complete a credential: identifiers (user or client names, further access ids),
 secrets (40 characters of mixed case and digits, short passwords) and endpoints
 (URLs, host assignments). Parts are joined by interval within a scope: the text
-is laid out in buckets as wide as the scope, a part is met with the parts of its
-own and the neighbouring buckets, and two are linked where the gap between them
-is at most the scope. A weak identifier or endpoint needs a secret in its
+is laid out in buckets as wide as the scope, a part is entered in every bucket
+that it reaches, and two are linked where the gap between them is at most the
+scope. A weak identifier or endpoint needs a secret in its
 scope; a weak secret needs an identifier or endpoint. Base spans count as
 strong parts of their kinds and stay, whatever is around them.
 
@@ -88,42 +88,43 @@ def weak_spans(text: Column) -> Column:
     return F.filter(every, lambda s: (s["kind"] != "wkey") | mixed(s))
 
 
-def completed(parts: DataFrame, key: list[str], scope: int) -> DataFrame:
-    """key and the weak spans that a complementary part completes within the scope.
+def completed(parts: DataFrame, key: str, scope: int) -> DataFrame:
+    """key and the weak spans (added) that a complementary part completes within the scope.
 
     parts: key and all spans of a text. A span reaches the scope to both sides
     and is entered in every bucket it reaches; what meets in a bucket is bounded
-    by the bucket's width.
+    by the bucket's width, and a text with very many parts has many buckets.
     """
-    each = parts.select(*key, F.explode("parts").alias("s")).distinct().withColumn("role", role_of(F.col("s.kind")))
+    each = parts.select(key, F.explode("parts").alias("s")).withColumn("role", role_of(F.col("s.kind")))
     reach = F.sequence(F.floor(F.greatest(F.col("s.start") - scope, F.lit(0)) / scope), F.floor((F.col("s.end") + scope) / scope))
-    held = each.select(*key, F.explode(reach).alias("bucket"), F.col("s.start").alias("o_start"), F.col("s.end").alias("o_end"), F.col("role").alias("o_role"))
+    held = each.select(F.col(key).alias("o_key"), F.explode(reach).alias("o_bucket"), F.col("s.start").alias("o_start"), F.col("s.end").alias("o_end"), F.col("role").alias("o_role"))
     own = F.sequence(F.floor(F.col("s.start") / scope), F.floor(F.col("s.end") / scope))
-    asked = each.filter(F.col("s.kind").startswith("w")).select(*key, F.explode(own).alias("bucket"), "s", "role")
+    asked = each.filter(F.col("s.kind").startswith("w")).select(key, F.explode(own).alias("bucket"), "s", "role")
     complement = (F.col("role") == "secret") != (F.col("o_role") == "secret")
     gap = F.greatest(F.col("s.start") - F.col("o_end"), F.col("o_start") - F.col("s.end"))
-    met = asked.join(held, [*key, "bucket"]).filter(complement & (gap <= scope))
-    return met.select(*key, "s").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("s")).alias("added"))
+    met = asked.join(held, (F.col(key) == F.col("o_key")) & (F.col("bucket") == F.col("o_bucket")) & complement & (gap <= scope), "left_semi")
+    return met.select(key, "s").distinct().groupBy(key).agg(F.array_sort(F.collect_list("s")).alias("added"))
+
+
+def may_gain(base: Column, weak: Column) -> Column:
+    """Whether a text has a weak part, and parts of both sides."""
+    roles = F.transform(F.concat(base, weak), lambda s: role_of(s["kind"]))
+    return (F.size(weak) > 0) & F.array_contains(roles, "secret") & (F.array_contains(roles, "id") | F.array_contains(roles, "endpoint"))
 
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, counts, base_sha256 and spans of every row.
 
-    The texts are read once: what is found in them is written, and the linking
-    works on that.
+    The texts are read once: what is found in them is written, each row under a
+    number of its own, and the linking works on that.
     """
     text = F.coalesce("text", F.lit(""))
-    key = ["key_id", "key_text", "key_size"]
-    keys = {"key_id": F.coalesce("doc_id", F.lit(-1)), "key_text": F.xxhash64(text), "key_size": F.length(text)}
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", *(c.alias(k) for k, c in keys.items()), *(c.alias(k) for k, c in base_spans(text).items()), weak_spans(text).alias("weak"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", *(c.alias(k) for k, c in base_spans(text).items()), weak_spans(text).alias("weak"))
     found = materialize(found, "secret-spans")
     base = F.concat("assign", "access", "hex")
-    roles = F.transform(F.concat(base, "weak"), lambda s: role_of(s["kind"]))
-    # only texts with a weak part and parts of both sides can gain spans
-    may = (F.size("weak") > 0) & F.array_contains(roles, "secret") & (F.array_contains(roles, "id") | F.array_contains(roles, "endpoint"))
-    added = completed(found.filter(may).select(*key, F.concat(base, "weak").alias("parts")), key, scope)
+    added = completed(found.filter(may_gain(base, F.col("weak"))).select("row", F.concat(base, "weak").alias("parts")), "row", scope)
     every = F.concat(base, F.coalesce("added", F.array().cast(_SPANS)))
-    return found.join(added, key, "left").select(
+    return found.join(added, "row", "left").select(
         "doc_id",
         F.size("assign").cast("long").alias("n_assign"),
         F.size("access").cast("long").alias("n_access"),
@@ -136,27 +137,33 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def masked(docs: DataFrame, mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """docs with a mark in place of every span, all columns kept; n_chars, if there, follows the text.
 
-    Texts without a match stay as they are. Spans that overlap become one mark.
-    A text's weak spans meet its other parts where they are, so no text is
-    moved.
+    Spans that overlap become one mark. The texts are written once beside their
+    spans; weak spans are linked by the interval join of ``scan``, and only the
+    texts that can gain one are joined with it, so all others stay where they
+    are. Texts without a span, null and empty ones stay as they are; repeated
+    rows are each masked; an empty table gives no rows.
     """
-    text = F.col("text")
-    base = F.concat(*base_spans(text).values())
-    parts = F.transform(F.concat(base, weak_spans(text)), lambda s: F.struct(*(s[c].alias(c) for c in ("start", "rank", "end", "kind", "piece")), role_of(s["kind"]).alias("role")))
-
-    def complete(every: Column, s: Column) -> Column:
-        gap = lambda o: F.greatest(s["start"] - o["end"], o["start"] - s["end"])
-        return ~s["kind"].startswith("w") | F.exists(every, lambda o: ((s["role"] == "secret") != (o["role"] == "secret")) & (gap(o) <= scope))
+    row, base, weak = (_free(docs, n) for n in ("_secret_row", "_secret_base", "_secret_weak"))
+    own = F.coalesce("text", F.lit(""))
+    held = docs.withColumns({row: F.monotonically_increasing_id(), base: F.concat(*base_spans(own).values()), weak: weak_spans(own)})
+    held = materialize(held, "secret-texts")
+    gains = may_gain(F.col(base), F.col(weak))
+    linked = completed(held.filter(gains).select(F.col(row).alias("row"), F.concat(base, weak).alias("parts")), "row", scope)
+    joined = held.filter(gains).join(linked, F.col(row) == F.col("row"), "left").withColumn(base, F.concat(base, F.coalesce("added", F.array().cast(_SPANS)))).select(held.columns)
+    every = held.filter(~gains).unionByName(joined)
 
     def step(state: Column, s: Column) -> Column:
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        before = F.substring("text", state["at"] + 1, s["start"] - state["at"])
         out = F.when(s["start"] >= state["at"], F.concat(state["out"], before, F.lit(mark))).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
-    found = "_secret_spans"
-    while found in docs.columns:
-        found += "_"
-    kept = docs.withColumn(found, F.array_sort(parts)).withColumn(found, F.filter(found, lambda s: complete(F.col(found), s)))
-    rewritten = F.aggregate(F.col(found), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    kept = kept.withColumn("text", F.when(F.size(found) > 0, rewritten).otherwise(text)).drop(found)
+    rewritten = F.aggregate(F.array_sort(base), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.length("text"))))
+    kept = every.withColumn("text", F.when(F.size(base) > 0, rewritten).otherwise(F.col("text"))).select(docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name

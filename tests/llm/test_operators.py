@@ -427,7 +427,27 @@ def test_secrets(spark):
     hidden = {r.doc_id: r for r in secrets.masked(docs.withColumn("n_chars", F.lit(1))).collect()}
     assert hidden[7].text == "[secret] [secret] [secret]" and hidden[8].text == texts[8] and hidden[1].text is None
     assert hidden[4].text == "secret=token:abcdefgh" and hidden[7].n_chars == 26
-    assert secrets.scan(docs.limit(0)).count() == 0
+    assert secrets.scan(docs.limit(0)).count() == 0 and secrets.masked(docs.limit(0)).count() == 0
+
+
+def test_weak_spans_equal_brute_force(spark):
+    rng = random.Random(23)
+    parts = ["user: bob", "pass=hunter2xyz", "host: db.example.com", "https://a.example.com/x", "login=amy", "pwd: qwerty123", "token=abcdef12", "AKIA" + "B" * 16, "Ab1" * 13 + "x", "f" * 24]
+    texts = [" ".join(x for _ in range(rng.randrange(0, 8)) for x in (rng.choice(parts), "w" * rng.choice([1, 40, 290, 300, 310]))) for _ in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, texts[0]])], "doc_id long, text string")
+    patterns = {k: re.compile(p.replace("(?i:", "(?ai:").replace("}+", "}")) for k, _, p in secrets.WEAK}
+    roles = secrets.BASE | {k: r for k, r, _ in secrets.WEAK}
+    added = 0
+    for r in secrets.scan(docs).collect():
+        t = ([*texts, None, texts[0]])[r.doc_id] or ""
+        base = [(int(a), secrets.ORDER.index(k), int(b), k) for k, a, b in (s.split(":") for s in r.spans.split(",") if s and s[0] != "w")]
+        weak = [(m.start(), secrets.ORDER.index(k), m.end(), k) for k, p in patterns.items() for m in p.finditer(t)]
+        weak = [s for s in weak if s[3] != "wkey" or s[2] - s[0] == 40 and all(re.search(c, t[s[0] : s[2]]) for c in ("[a-z]", "[A-Z]", "[0-9]"))]
+        near = lambda s, o: max(s[0] - o[2], o[0] - s[2]) <= secrets.SCOPE
+        kept = [s for s in weak if any((roles[s[3]] == "secret") != (roles[o[3]] == "secret") and near(s, o) for o in base + weak)]
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + kept)), t
+        added += len(kept)
+    assert added > 50
 
 
 # ---- 8
