@@ -1,20 +1,19 @@
 """Exact top-k search by a Voronoi kNN join over inner products.
 
-Pivots split queries and data into Voronoi cells. Summaries of the cells (how
-many vectors lie at which distance from the pivot, the queries' reach and
-largest length) give each query group a score that its queries' k-th best can't
-fall below, and for each data cell a bound on what a vector at some distance can
-score. Only vectors that can reach a group's score are sent to it; there they
-are scored in chunks of bounded size by matrix products, and a query's chunk
-winners are merged.
-
-With p_i the pivot of a query group, u_i its reach and m_i its longest query, a
-vector x at distance d from its pivot p_j scores between
-<p_i, p_j> - u_i |p_j| - m_i d and <p_i, p_j> + u_i |p_j| + m_i d.
-
-Chunks are cut by hash of the vector's id and query groups by hash of the
-query's id, so neither a cell nor a group that holds much of the data lands in
-one task. Pivots come from a bounded sample; they affect cost, never results.
+Pivots, more of them for a larger table, split the data into Voronoi cells. A
+cell's summary (how many vectors, the largest distance from the pivot) bounds
+what a query can score in it: with p the pivot and d the largest distance, at
+most <q, p> + |q| d. A query's k-th best score among a bounded sample of the
+data is one that its k-th best of all can't fall below, so it needs only the
+cells whose bound reaches that. Queries are sent to the cells they need, being
+the fewer; a cell's vectors are sent as often as there are groups of queries
+that need it, and groups are large. There they are scored in chunks of bounded
+size by matrix products, and a query's chunk winners are merged.
+
+Cells are cut in chunks by hash of the vector's id and queries in groups by hash
+of the query's id, so neither a cell nor a group that holds much of the data
+lands in one task. Pivots and the sample affect cost, never results; where
+vectors have no clusters in many dimensions, every query needs every cell.
 
 Components are floor(64 * x), x as double. Defined results: vectors that are
 null, or hold a null or a component that isn't finite, take no part, nor do rows
@@ -33,16 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import materialize, small_batches
+from sheaf.llm.common import materialize, slices, small_batches
 
 K = 20
 SCALE = 64
-#: Vectors in a chunk, queries in a group, pivots and sample rows at most.
-CHUNK = 8192
-GROUP = 1024
-PIVOTS = 64
-SAMPLE = 2048
-QUERIES_PER_PIVOT = 256
+#: Vectors in a chunk and queries in a group, at most; the fewest that a chunk is cut for.
+CHUNK = 65536
+GROUP = 32768
+LEAST_CHUNK = 1024
+#: Pivots and rows of the sample, at most.
+PIVOTS = 1024
+SAMPLE = 8192
+#: Scores that a task holds at a time.
+HELD = 1 << 22
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -81,33 +83,53 @@ def nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products."""
-    if not len(q) or not len(x) or np.sqrt((q * q).sum(1).max()) * np.sqrt((x * x).sum(1).max()) * (1 + 1e-6) < 2.0**53:
-        return (q @ x.T).astype(np.int64)
+    """Exact integer inner products, as floats where these are exact."""
+    most = np.sqrt((q * q).sum(1).max()) * np.sqrt((x * x).sum(1).max()) * (1 + 1e-6) if len(q) and len(x) else 0
+    if most < 2.0**24:
+        return q.astype(np.float32) @ x.T.astype(np.float32)
+    if most < 2.0**53:
+        return q @ x.T
     whole = np.array([[int(v) for v in r] for r in q], object) @ np.array([[int(v) for v in r] for r in x], object).T
     return np.clip(whole, -(2**63), 2**63 - 1).astype(np.int64)
 
 
-def bounds(pivots: np.ndarray, cells: list, groups: list, k: int) -> dict[int, tuple[float, np.ndarray]]:
-    """For each query cell its sure score and, for each data cell, the least distance that can reach it.
-
-    cells: (cell, bin, rows, largest distance); groups: (cell, reach, longest query).
-    """
-    inner, size = pivots @ pivots.T, np.sqrt((pivots * pivots).sum(1))
-    cell, rows, far = (np.array([c[i] for c in cells], float) for i in (0, 2, 3))
-    cell, out = cell.astype(int), {}
-    for i, reach, longest in groups:
-        at_least = inner[i, cell] - reach * size[cell] - longest * far
-        order = np.argsort(-at_least, kind="stable")
-        enough = np.flatnonzero(np.cumsum(rows[order]) >= k)
-        sure = at_least[order[enough[0]]] if len(enough) else -np.inf
-        slack = 1e-6 * (1 + np.abs(inner[i]) + reach * size + abs(sure)) if np.isfinite(sure) else 0
-        need = (sure - inner[i] - reach * size - slack) / max(longest, 1e-9)
-        out[i] = (sure, np.where(np.isfinite(need), need, -np.inf))
-    return out
-
-
-def top_k(vectors: DataFrame, is_query, k: int = K, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+def sure_scores(ids: np.ndarray, q: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th best score among a sample's rows of other ids; -inf where these are fewer."""
+    if len(sample) < k:
+        return np.full(len(q), -np.inf)
+    scores = products(q, sample).astype(np.float64)
+    scores[ids[:, None] == sample_ids[None, :]] = -np.inf
+    return np.partition(scores, len(sample) - k, axis=1)[:, len(sample) - k]
+
+
+def reached(q: np.ndarray, sure: np.ndarray, pivots: np.ndarray, farthest: np.ndarray) -> np.ndarray:
+    """Whether a cell can hold, for each query and cell, a vector that scores at least the query's sure score."""
+    inner, spread = q @ pivots.T, np.sqrt((q * q).sum(1))[:, None] * farthest[None, :]
+    return inner + spread + 1e-6 * (1 + np.abs(inner) + spread) >= sure[:, None]
+
+
+def winners(ids: np.ndarray, q: np.ndarray, sure: np.ndarray, theirs: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) of each query's k best of other ids that aren't below its sure score; theirs rise."""
+    out = [(np.zeros(0, np.int64),) * 3]
+    step = max(1, HELD // max(1, len(x)))
+    for at in range(0, len(ids), step):
+        own = ids[at : at + step]
+        scores = products(q[at : at + step], x)
+        fits = (theirs[None, :] != own[:, None]) & (scores >= sure[at : at + step, None] - 1)
+        if scores.shape[1] > k:
+            lowest = np.iinfo(np.int64).min if scores.dtype == np.int64 else -np.inf
+            fits &= scores >= np.partition(np.where(fits, scores, lowest), scores.shape[1] - k, axis=1)[:, scores.shape[1] - k][:, None]
+        row, column = np.nonzero(fits)
+        score = scores[row, column].astype(np.int64)
+        order = np.lexsort((column, -score, row))  # ids rise, so ties go to the smaller
+        row, column, score = row[order], column[order], score[order]
+        first = np.searchsorted(row, np.arange(len(own)))
+        best = np.arange(len(row)) - first[row] < k
+        out.append((own[row[best]], theirs[column[best]], score[best]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def top_k(vectors: DataFrame, is_query, k: int = K, chunk: int = CHUNK, group: int = GROUP, least_chunk: int = LEAST_CHUNK) -> DataFrame:
     """The k vectors of highest inner product for each query row: query_id, rank, vec_id, score.
 
     is_query: a condition on vec_id.
@@ -115,82 +137,86 @@ def top_k(vectors: DataFrame, is_query, k: int = K, chunk: int = CHUNK, group: i
     spark = vectors.sparkSession
     small_batches(spark)
     own = quantized(vectors)
-    stats = own.agg(F.count("*"), F.count_if(is_query), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
-    n, n_queries, dim = stats[0], stats[1], max(stats[2], 1)
+    largest = F.aggregate("x", F.lit(0.0), lambda m, v: F.greatest(m, F.abs(v)))
+    n, n_queries, dim, most = own.agg(F.count("*"), F.count_if(is_query), F.coalesce(F.max(F.size("x")), F.lit(0)), F.max(largest)).first()
+    dim = max(dim, 1)
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
-    sample = matrix(sample.column("x").combine_chunks(), dim)
-    pivots = find_pivots(sample, min(PIVOTS, max(1, n_queries // QUERIES_PER_PIVOT), len(sample)))
+    element = "short" if most < 2**15 else "double"
+    own = own.select("vec_id", F.col("x").cast(f"array<{element}>").alias("x"))
+    drawn = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
+    sample_ids, sample = once(drawn.column("vec_id").to_numpy(), matrix(drawn.column("x").combine_chunks(), dim))
+    pivots = find_pivots(sample, min(PIVOTS, max(4, round(n**0.5 / 4)), len(sample)))
+    sent = spark.sparkContext.broadcast((sample_ids, sample, pivots))  # of bounded size
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column("x"), dim)
-            cell, far = nearest(x, pivots)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "x", "query")), pa.array(cell, pa.int32()), pa.array(far), pa.array(np.sqrt((x * x).sum(1)) * (1 + 1e-9))], ["vec_id", "x", "query", "cell", "far", "length"])
+            cell, far = nearest(matrix(batch.column("x"), dim), sent.value[2])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "x", "query")), pa.array(cell, pa.int32()), pa.array(far)], ["vec_id", "x", "query", "cell", "far"])
 
-    placed = own.select("vec_id", "x", is_query.alias("query")).mapInArrow(assign, "vec_id long, x array<double>, query boolean, cell int, far double, length double")
+    placed = own.select("vec_id", "x", is_query.alias("query")).mapInArrow(assign, f"vec_id long, x array<{element}>, query boolean, cell int, far double")
     placed = materialize(placed, "knn-cells")
-    # a row's distance by eighths of a power of two: as many bins as there are powers, whatever the number of rows
-    bin_of = F.floor(8 * F.log2(F.col("far") + 1)).alias("bin")
-    cells = [tuple(r) for r in placed.groupBy("cell", bin_of).agg(F.count_distinct("vec_id").alias("n"), F.max("far")).collect()]
-    groups = [tuple(r) for r in placed.filter("query").groupBy("cell").agg(F.max("far"), F.max("length")).collect()]
-    # a query is no candidate of its own, and each of its id's vectors may be counted in another bin
-    own_rows = placed.filter("query").groupBy("vec_id").agg(F.count_distinct("x").alias("n")).agg(F.max("n")).first()[0]
-    reach = bounds(pivots, cells, groups, k + own_rows)
-    parts = {r[0]: -(-r[1] // group) for r in placed.filter("query").groupBy("cell").count().collect()}
-    chunks = -(-n // chunk)
-    targets = sorted(reach)
-    need = np.stack([reach[i][1] for i in targets])
+    held, farthest = np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    for cell, rows, far in placed.groupBy("cell").agg(F.count("*"), F.max("far")).collect():  # PIVOTS at most
+        held[cell], farthest[cell] = rows, far
+    chunks = -(-held // min(chunk, max(least_chunk, n // 64)))
+    groups = -(-n_queries // group)
+    known = np.flatnonzero(held)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample_ids, sample, pivots = sent.value
+        for batch in slices(batches, 64):
+            ids, q = batch.column("vec_id").to_numpy(), matrix(batch.column("x"), dim)
+            sure = sure_scores(ids, q, sample_ids, sample, k)
+            row, cell = np.nonzero(reached(q, sure, pivots[known], farthest[known]))
+            cell = known[cell]
+            times = chunks[cell]
+            part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, cell = np.repeat(row, times), np.repeat(cell, times)
+            kept = batch.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(part, pa.int32()), kept.column("grp"), kept.column("vec_id"), kept.column("x"), pa.array(sure[row])], ["cell", "chunk", "grp", "vec_id", "x", "sure"])
+
+    grp = F.pmod(F.xxhash64(F.col("vec_id") + 1), F.lit(groups)).cast("int").alias("grp")
+    asked = placed.filter("query").select(grp, "vec_id", "x").mapInArrow(ask, f"cell int, chunk int, grp int, vec_id long, x array<{element}>, sure double")
+    # which groups of queries need a cell: of no more entries than cells times groups
+    needs = {r["cell"]: r["groups"] for r in asked.groupBy("cell").agg(F.sort_array(F.collect_set("grp")).alias("groups")).collect()}
+    wanted = spark.sparkContext.broadcast(needs)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, far = batch.column("cell").to_numpy(), batch.column("far").to_numpy()
-            for t, i in enumerate(targets):
-                rows = pa.array(np.flatnonzero(far >= need[t, cell]))
-                if len(rows):
-                    kept = batch.take(rows)
-                    for part in range(parts[i]):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), i), pa.int32()), pa.array(np.full(len(rows), part), pa.int32()), *(kept.column(c) for c in ("chunk", "vec_id", "x"))], ["cell", "part", "chunk", "vec_id", "x"])
-
-    chunked = placed.select("cell", "far", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"), "vec_id", "x")
-    data = chunked.mapInArrow(replicate, "cell int, part int, chunk int, vec_id long, x array<double>")
-    part_of = F.pmod(F.xxhash64(F.col("vec_id") + 1), F.element_at(F.create_map(*(F.lit(v) for kv in parts.items() for v in kv)), F.col("cell")))
-    asked = placed.filter("query").select("cell", part_of.cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "vec_id", "x")
-    sure = {i: s for i, (s, _) in reach.items()}
-
-    def solve(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, theirs = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-        q, x = matrix(left.column("x").combine_chunks(), dim), matrix(right.column("x").combine_chunks(), dim)
-        ids, q = once(ids, q)
-        theirs, x = once(theirs, x)
-        out: list[tuple[np.ndarray, ...]] = []
+            theirs = [wanted.value.get(c, ()) for c in batch.column("cell").to_pylist()]
+            kept = batch.take(pa.array(np.repeat(np.arange(len(theirs)), [len(g) for g in theirs])))
+            yield pa.RecordBatch.from_arrays([kept.column("cell"), kept.column("chunk"), pa.array([g for gs in theirs for g in gs], pa.int32()), kept.column("vec_id"), kept.column("x")], ["cell", "chunk", "grp", "vec_id", "x"])
+
+    of_cell = F.element_at(F.array(*(F.lit(max(1, int(c))) for c in chunks)), F.col("cell") + 1)
+    chunked = placed.select("cell", F.pmod(F.xxhash64("vec_id"), of_cell).cast("int").alias("chunk"), "vec_id", "x")
+    data = chunked.mapInArrow(replicate, f"cell int, chunk int, grp int, vec_id long, x array<{element}>")
+
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, q, sure = left.column("vec_id").to_numpy(), matrix(left.column("x").combine_chunks(), dim), left.column("sure").to_numpy()
+        theirs, x = once(right.column("vec_id").to_numpy(), matrix(right.column("x").combine_chunks(), dim))
+        (ids, q), sure = once(ids, q), sure[first_of(ids, q)]
         order = np.argsort(theirs, kind="stable")
-        theirs, x = theirs[order], x[order]
-        for at in range(0, len(ids), 128):
-            scores = products(q[at : at + 128], x)
-            for r, query in enumerate(ids[at : at + 128]):
-                fit = np.flatnonzero((theirs != query) & (scores[r] >= sure[key[0].as_py()] - 1))
-                if len(fit) > k:
-                    line = np.partition(scores[r][fit], len(fit) - k)[len(fit) - k]
-                    fit = fit[scores[r][fit] >= line]
-                best = fit[np.argsort(-scores[r][fit], kind="stable")[:k]]  # ids rise, so ties go to the smaller
-                out.append((np.full(len(best), query), theirs[best], scores[r][best]))
-        columns = [np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else [()] * 3)]
-        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
-
-    keys = ("cell", "part", "chunk")
+        found = winners(ids, q, sure, theirs[order], x[order], k)
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_id", "vec_id", "score"), found, strict=True)})
+
+    keys = ("cell", "chunk", "grp")
     won = asked.groupBy(*keys).cogroup(data.groupBy(*keys)).applyInArrow(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return won.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def once(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Without rows that repeat id and vector."""
+def first_of(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The first rows of those that repeat id and vector."""
     if len(np.unique(ids)) == len(ids):
-        return ids, x
+        return np.arange(len(ids))
     seen: dict[tuple, int] = {}
     for i, key in enumerate(zip(ids.tolist(), (r.tobytes() for r in x), strict=True)):
         seen.setdefault(key, i)
-    keep = np.fromiter(seen.values(), int)
+    return np.fromiter(seen.values(), int)
+
+
+def once(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without rows that repeat id and vector."""
+    keep = first_of(ids, x)
     return ids[keep], x[keep]

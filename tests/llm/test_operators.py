@@ -98,18 +98,33 @@ def test_knn_large_values_and_empty(spark):
 def test_knn_bounds_never_lose_a_vector():
     rng = np.random.default_rng(4)
     x = np.round(rng.normal(0, 20, (400, 3)) + np.repeat(rng.normal(0, 200, (8, 3)), 50, 0))
+    ids = np.arange(400)
     pivots = knn_join.find_pivots(x, 8)
     cell, far = knn_join.nearest(x, pivots)
-    cells = [(j, 0, 1, f) for j, f in zip(cell, far, strict=True)]
-    groups = [(i, far[cell == i].max(), np.sqrt((x[cell == i] ** 2).sum(1)).max()) for i in set(cell.tolist())]
-    pruned = 0
-    for i, (sure, need) in knn_join.bounds(pivots, cells, groups, 6).items():
-        for q in x[cell == i]:
-            scores = np.sort(x @ q)[::-1]
-            assert scores[5] >= sure - 1e-6
-            assert all((x @ q)[far < need[cell]] <= scores[4] + 1e-6)
-        pruned += (far < need[cell]).sum()
-    assert pruned > 0
+    farthest = np.array([far[cell == j].max(initial=-np.inf) for j in range(8)])
+    sure = knn_join.sure_scores(ids, x, ids[::3], x[::3], 5)
+    needed = knn_join.reached(x, sure, pivots, farthest)
+    for i, q in enumerate(x):
+        scores = np.where(ids == i, -np.inf, x @ q)
+        line = np.sort(scores)[-5]
+        assert line >= sure[i]
+        assert all(scores[~needed[i][cell]] < line)
+    assert needed.mean() < 0.8
+
+
+def test_knn_over_several_cells_groups_and_long_vectors(spark):
+    rng = np.random.default_rng(14)
+    centres = rng.normal(0, 3, (12, 400))
+    x = (centres[np.arange(900) % 12] + rng.normal(0, 0.3, (900, 400))).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    whole = np.floor(64 * x.astype(np.float64))
+    want = set()
+    for q in range(0, 900, 20):
+        scores = (whole @ whole[q]).astype(np.int64)
+        best = sorted((-s, j) for j, s in enumerate(scores) if j != q)[:9]
+        want |= {(q, k + 1, j, -s) for k, (s, j) in enumerate(best)}
+    got = knn_join.top_k(df, F.col("vec_id") % 20 == 0, k=9, chunk=30, group=10, least_chunk=10).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
 # ---- 2, 3, 7
