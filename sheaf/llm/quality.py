@@ -1,12 +1,14 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
-Every word form and every word shape (letters by case, digits, punctuation as
-itself, runs collapsed) has a fixed sparse ternary index vector drawn from its
-hash bucket. A word form's vector is its own index vector plus the mean of its
-neighbours' index vectors over the learning rows. A document pools these over
-all its tokens (mean and spread, plus a few rates), a two-layer network scores
-the pooled vector, and a temperature fitted on a calibration part of the
-learning rows makes the scores probabilities.
+Every word form has a fixed sparse ternary index vector drawn from its hash
+bucket. A form's vector is its own index vector plus the mean of the index
+vectors of the words up to WINDOW places before and after it, over all its
+occurrences in the learning rows: words of like surroundings get like vectors.
+A document pools the vectors of all its tokens (their mean), and beside them the
+mean of index vectors of word shapes (letters by case, digits, punctuation as
+itself, runs collapsed) and a few rates. A two-layer network scores the pooled
+vector, and a temperature fitted on a calibration part of the learning rows
+makes the scores probabilities.
 
 Learning uses at most ``max_rows`` labelled documents (their whole texts), taken
 by hash of the id; every document is scored over its whole text.
@@ -14,8 +16,8 @@ by hash of the id; every document is scored over its whole text.
 Defined results: null and empty texts are scored as texts without tokens; rows
 with a null id are scored and neither held out nor learned from; documents with
 conflicting label rows are not learned from; repeated rows are scored each; with
-no labelled rows every score is 0.5; an empty table gives no rows. Extra columns
-are not read.
+no labelled rows every score is 0.5, and ``keep`` keeps all; an empty table gives
+no rows. Extra columns are not read; ``keep`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ SHAPES = 1 << 10
 DIM = 48
 NONZERO = 6
 HIDDEN = 24
+#: Words to either side that make a word's surroundings; tasks that add them up.
+WINDOW = 2
+FIT_TASKS = 16
 #: Words that a task remembers at most; a full cache is emptied.
 CACHE_WORDS = 300_000
 
@@ -68,7 +73,7 @@ class Tokens(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         form = xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")) % WORDS
-        shape = xxhash.xxh32_intdigest(shape_of(word[:64]).encode("utf-8", "surrogatepass"), seed=1) % SHAPES
+        shape = xxhash.xxh32_intdigest(shape_of(word).encode("utf-8", "surrogatepass"), seed=1) % SHAPES
         out = form * SHAPES + shape
         if len(word) <= 64:
             self[word] = out
@@ -93,37 +98,42 @@ def pooled(codes: np.ndarray, forms: np.ndarray, shapes: np.ndarray) -> np.ndarr
     return out
 
 
+def surroundings(form: np.ndarray, index: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
+    """Add the index vectors around each word of a text to its form's total."""
+    around, near, n = index[form], np.zeros((len(form), DIM), np.float32), np.zeros(len(form), np.float32)
+    for k in range(1, WINDOW + 1):
+        near[k:] += around[:-k]
+        near[:-k] += around[k:]
+        n[k:] += 1
+        n[:-k] += 1
+    order = np.argsort(form, kind="stable")
+    begins = np.flatnonzero(np.r_[True, np.diff(form[order]) > 0])
+    total[form[order[begins]]] += np.add.reduceat(near[order], begins)
+    count[form[order[begins]]] += np.add.reduceat(n[order], begins)
+
+
 def word_vectors(sample: DataFrame) -> np.ndarray:
-    """Form vectors from the neighbours in the sample's texts.
+    """Form vectors from the surroundings in the sample's texts.
 
-    Each task adds up neighbour index vectors for all form buckets; the sample
-    is bounded, and so are the few tasks that read it.
+    Each task adds up for all form buckets; the sample is bounded, and so are
+    the tasks that read it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, tokens = index_vectors(SHAPES, 3), Tokens()
+        index, tokens = index_vectors(WORDS, 2), Tokens()
         total, count = np.zeros((WORDS, DIM), np.float32), np.zeros(WORDS, np.float32)
         for batch in slices(batches):
             for text in texts_of(batch):
-                codes = tokens.of(text)
-                if len(codes) < 2:
-                    continue
-                form, around = codes // SHAPES, index[codes % SHAPES]
-                near = np.zeros_like(around)
-                near[1:] += around[:-1]
-                near[:-1] += around[1:]
-                order = np.argsort(form, kind="stable")
-                begins = np.flatnonzero(np.r_[True, np.diff(form[order]) > 0])
-                total[form[order][begins]] += np.add.reduceat(near[order], begins)
-                count[form[order][begins]] += np.diff(np.r_[begins, len(form)])
+                if len(codes := tokens.of(text)):
+                    surroundings(codes // SHAPES, index, total, count)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["total", "count"])
 
-    got = sample.select("text").coalesce(4).mapInArrow(run, "total binary, count binary").collect()
+    got = sample.select("text").repartition(FIT_TASKS).mapInArrow(run, "total binary, count binary").collect()
     total, count = np.zeros((WORDS, DIM), np.float32), np.zeros(WORDS, np.float32)
-    for row in got:
+    for row in got:  # sums of whole numbers, so their order doesn't matter
         total += np.frombuffer(row["total"], np.float32).reshape(WORDS, DIM)
         count += np.frombuffer(row["count"], np.float32)
-    return index_vectors(WORDS, 2) + total / np.maximum(2 * count, 1)[:, None]
+    return index_vectors(WORDS, 2) + total / np.maximum(count, 1)[:, None]
 
 
 @dataclass

@@ -144,6 +144,28 @@ def test_quality(spark, corpus):
     assert kept.columns == docs.columns and 0 < kept.count() < len(corpus)
 
 
+def test_word_vectors_follow_the_words_around(spark):
+    texts = ["left alpha right " * 5, "left beta right " * 5, "north gamma south " * 5, "a " * 40, "", None]
+    vectors = quality.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string"))
+    tokens, index = quality.Tokens(), quality.index_vectors(quality.WORDS, 2)
+    around = {w: (vectors - index)[tokens[w] // quality.SHAPES] for w in ("alpha", "beta", "gamma")}
+    # one shape, but other surroundings; the words themselves are in each other's, one place further on
+    apart = lambda a, b: float(((around[a] - around[b]) ** 2).sum())
+    assert apart("alpha", "beta") < 0.3 * apart("alpha", "gamma") and len({quality.shape_of(w) for w in around}) == 1
+    long_ = "x" * 70
+    assert tokens[long_ + "1"] % quality.SHAPES != tokens[long_ + "A"] % quality.SHAPES
+
+
+def test_quality_scores_are_calibrated(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (4000, 6)).astype(np.float32)
+    y = (rng.random(4000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(int)
+    p = quality.train(x[:3000], y[:3000]).scores(x[3000:])
+    for lo in (0.0, 0.25, 0.5, 0.75):
+        at = (p >= lo) & (p < lo + 0.25)
+        assert at.sum() > 50 and abs(p[at].mean() - y[3000:][at].mean()) < 0.12
+
+
 def test_scores_ignore_lang_and_other_columns(spark, corpus):
     docs = frame(spark, corpus[:60])
     other = docs.withColumns({"lang": F.lit("zz"), "score": F.lit("q")})
