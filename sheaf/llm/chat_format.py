@@ -20,7 +20,10 @@ conversation with very many turns needs no more memory than a short one.
 Defined results: null texts and roles are empty; turns of equal number
 are ordered by their formatted text, assistant turns last; rows that repeat are turns of their own; rows with a
 null conversation id form one conversation with a null id; an empty table
-gives no rows. Extra columns are not read.
+gives no rows. Texts in a record that are no strings are written as JSON, lists
+of parts joined by line feeds, and list elements that are no objects become
+turns without a role; records that are no JSON object, or fit no layout, give no
+turns. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,15 +41,17 @@ from sheaf.llm.common import slices, small_batches
 
 #: The template's control strings.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+#: Other names of roles; a row of role and text has its role as it is.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant"}
 
 #: Declarative mappings: field paths that a layout has -> where its turns are.
 #: ``each`` walks a list; ``turns`` lists (role, field) pairs, joined where several share a role.
 LAYOUTS: tuple[tuple[frozenset, dict], ...] = (
     (frozenset({"messages[].role", "messages[].content"}), {"each": "messages", "role": "role", "text": "content"}),
+    (frozenset({"messages[].role", "messages[].content[].text"}), {"each": "messages", "role": "role", "text": "content"}),
     (frozenset({"conversations[].from", "conversations[].value"}), {"each": "conversations", "role": "from", "text": "value"}),
     (frozenset({"turns[].role", "turns[].text"}), {"each": "turns", "role": "role", "text": "text"}),
-    (frozenset({"role", "text"}), {"turns": ((("role",), ("text",)),)}),
+    (frozenset({"role", "text"}), {"turns": ((("role",), ("text",)),), "plain": True}),
     (frozenset({"role", "content"}), {"turns": ((("role",), ("content",)),)}),
     (frozenset({"instruction", "input", "output"}), {"turns": (("user", ("instruction", "input")), ("assistant", ("output",)))}),
     (frozenset({"instruction", "output"}), {"turns": (("user", ("instruction",)), ("assistant", ("output",)))}),
@@ -91,17 +96,34 @@ def role_of(name: object) -> str:
     return ROLES.get(name, name)
 
 
+def written(value: object) -> str:
+    """A text; null is empty, lists and objects of text parts are joined, any other value is written as JSON."""
+    if value is None:
+        return ""
+    if isinstance(value, str):
+        return value
+    if isinstance(value, list):
+        return "\n".join(t for v in value if (t := written(v)))
+    if isinstance(value, dict) and isinstance(value.get("text"), str):
+        return value["text"]
+    return json.dumps(value, ensure_ascii=False, sort_keys=True)
+
+
 def canonical_turns(record: dict, mappings: Mappings) -> list[tuple[str, str]] | None:
     """(role, text) turns of a record; None where no mapping fits its fields."""
     mapping = mappings.of(record)
     if mapping is None:
         return None
     if "each" in mapping:
-        return [(role_of(m.get(mapping["role"])), m.get(mapping["text"]) or "") for m in record[mapping["each"]] or []]
+        each = record[mapping["each"]]
+        each = each if isinstance(each, list) else [each]
+        # what isn't an object is said by nobody
+        return [(role_of(m.get(mapping["role"])), written(m.get(mapping["text"]))) if isinstance(m, dict) else ("", written(m)) for m in each if m is not None]
     turns = []
     for role, fields in mapping["turns"]:
-        text = "\n".join(t for f in fields if (t := record.get(f) or "")) if len(fields) > 1 else record.get(fields[0]) or ""
-        turns.append((role_of(record.get(role[0])) if isinstance(role, tuple) else role, text))
+        text = "\n".join(t for f in fields if (t := written(record.get(f))))
+        named = record.get(role[0]) if isinstance(role, tuple) else role
+        turns.append((written(named) if mapping.get("plain") else role_of(named), text))
     return turns
 
 
@@ -147,8 +169,7 @@ def format_records(records: DataFrame, conv_id: str, turn: str, body: Column) ->
     """Formatted turns of JSON records: conv_id, turn, formatted, loss_start, loss_end.
 
     body: the record as a JSON string. A record of several turns numbers them
-    from its own turn number on. Records whose fields fit no mapping, or that
-    are no JSON object, give no turns.
+    from its own turn number on.
     """
     small_batches(records.sparkSession)
 

@@ -69,11 +69,12 @@ def words_of(path: str) -> WordIds:
 class WordIds(dict):
     """Ids of white-space separated chunks as little-endian bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are the ids of its chunks in turn. A chunk of Latin-1 letters is cut and
-    merged piece by piece, and pieces are remembered too, as most new chunks are
-    known pieces with other punctuation or case; any other chunk, and every
-    chunk under a tokenizer of another kind, goes through the whole tokenizer.
+    A tokenizer of the kind known here drops white space and never joins across
+    it, so a text's ids are the ids of its chunks in turn. A chunk of Latin-1
+    letters is cut and merged piece by piece, and pieces are remembered too, as
+    most new chunks are known pieces with other punctuation or case; any other
+    chunk goes through the whole tokenizer. Under a tokenizer of another kind
+    whole texts do.
     """
 
     def __init__(self, path: str):
@@ -107,7 +108,7 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        if not self.short or len(word) > 64 or not (word.isascii() or max(word) <= "\xff") or self.marked(word):
+        if len(word) > 64 or not (word.isascii() or max(word) <= "\xff") or self.marked(word):
             out = packed(self.encode(word, add_special_tokens=False).ids if word else [])
         elif word.isalpha():
             out = self.piece(word.lower())
@@ -124,7 +125,7 @@ class WordIds(dict):
         return self.first in word and any(x in word for x in self.special) if len(self.first) == 1 else any(x in word for x in self.special)
 
     def of(self, text: str) -> bytes:
-        if not self.spaced:
+        if not self.short or not self.spaced:
             return packed(self.encode(text, add_special_tokens=False).ids)
         words = text.replace("\n", " ").split(" ")
         return b"".join(map(self.__getitem__, words))

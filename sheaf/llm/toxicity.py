@@ -2,8 +2,10 @@
 
 Terms are lower-cased words and the beginnings of longer words. The examples
 are a bounded set of labelled documents; their terms are weighted by
-(1 + log tf) * idf * chi, where chi is a term's association with the label among
-the learning rows, and terms without any are left out. The index keeps, for
+(1 + log tf) * idf * sqrt(chi), where chi is a term's association with the label
+among the learning rows, and terms without any are left out: a cosine over all
+terms is ruled by what a text is about, and misses a few words in a long one
+(figures in the README). The index keeps, for
 each term, its postings by example and the largest weight in every block of
 examples. A query sums those maxima over its terms, visits the blocks by
 falling bound, and stops when no bound left reaches its k-th best cosine, so
@@ -11,7 +13,8 @@ the k nearest examples are exact, ties to the smaller example id.
 
 The neighbours vote with their cosines; a logistic curve fitted on the examples'
 own leave-one-out votes calibrates the score. Evidence is the neighbours' ids
-and the terms that matched toxic ones.
+and, for a text found toxic, the terms that add more to the cosines of its toxic
+neighbours than to those of the others.
 
 Every document is scored over its whole text. Defined results: null and empty
 texts, and texts without a known term, have no neighbours and get the
@@ -125,6 +128,19 @@ class Index:
             rows, cosines = rows[best], cosines[best]
         return rows, cosines
 
+    def evidence(self, terms: np.ndarray, w: np.ndarray, rows: np.ndarray, most: int = 5) -> list[str]:
+        """The terms that speak for the toxic neighbours, the strongest first."""
+        order = np.argsort(rows)
+        near, side = rows[order], np.where(self.labels[rows[order]] == 1, 1.0, -1.0)
+        speaks = np.zeros(len(terms))
+        for i, t in enumerate(terms):
+            lo, hi = self.pointers[t, 0], self.pointers[t, -1]
+            at = lo + np.searchsorted(self.examples[lo:hi], near)
+            there = (at < hi) & (self.examples[np.minimum(at, len(self.examples) - 1)] == near)
+            speaks[i] = w[i] * (self.values[at[there]] * side[there]).sum()
+        best = np.argsort(-speaks, kind="stable")[:most]
+        return [self.terms[terms[i]] for i in best if speaks[i] > 0]
+
     def votes(self, rows: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
         """The share of the cosines that votes toxic, and the largest toxic cosine."""
         toxic = self.labels[rows] * cosines
@@ -258,8 +274,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
                 scores.append(p)
                 near.append(index.ids[rows].tolist() if index else [])
                 cos.append(cosines.tolist())
-                best = terms[np.argsort(-index.weight[terms], kind="stable")[:5]] if index and p >= threshold else []
-                why.append([index.terms[t] for t in best])
+                why.append(index.evidence(terms, w, rows) if index and p >= threshold else [])
             p = np.array(scores, np.float64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(near, pa.list_(pa.int64())), pa.array(cos, pa.list_(pa.float64())), pa.array(why, pa.list_(pa.string()))], ["doc_id", "held_out", "score", "predicted", "neighbours", "cosines", "evidence"])
 

@@ -180,7 +180,8 @@ def test_toxicity(spark, corpus):
     text = {r[0]: r[1] or "" for r in corpus}
     tried = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 120]
     assert np.mean([r.predicted == ("vile" in text[r.doc_id]) for r in tried]) > 0.9
-    assert any(t.startswith(("vil", "scou")) for r in got for t in r.evidence or ())
+    evidence = [t for r in got for t in r.evidence]
+    assert evidence and all(t.startswith(("vil", "scou")) for t in evidence)
     assert toxicity.score(docs.limit(0), labels(spark, corpus)).count() == 0
     assert {r.score for r in toxicity.score(docs, labels(spark, corpus).limit(0)).collect()} == {0.0}
 
@@ -212,6 +213,36 @@ def test_block_max_neighbours_are_exact():
         assert index.nearest(terms_, w, 15)[0].tolist() == want
 
 
+def test_votes_are_calibrated_and_neighbours_are_those_of_brute_force(spark):
+    rng = random.Random(31)
+    plain, rude = [f"w{i}" for i in range(60)], [f"rude{i}" for i in range(6)]
+    rows = []
+    for i in range(600):
+        toxic = rng.random() < 0.3
+        # half of the rude words are in other texts too
+        words = rng.choices(plain, k=20) + (rng.choices(rude, k=2) if toxic else rng.choices(rude[:3], k=1) if rng.random() < 0.2 else [])
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = toxicity.score(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")).toPandas().set_index("doc_id").loc[range(600)]
+    y = np.array([r[2] for r in rows])
+    for lo, hi in ((0.0, 0.3), (0.7, 1.01)):
+        at = (got.score >= lo) & (got.score < hi) & got.held_out
+        assert at.sum() > 5 and abs(got.score[at].mean() - y[at].mean()) < 0.2
+    counts = [Counter(t for w in r[1].split() for t in toxicity.terms_of(w)) for r in rows]
+    learned = [(r[0], r[2], list(c.items())) for r, c in zip(rows, counts, strict=True) if fold(r[0], 5)]
+    chosen = {t: (has, chi) for t, has, chi in toxicity.chosen_terms(learned)}
+    weigh = lambda c: {t: (1 + math.log(n)) * math.log((len(learned) + 1) / (chosen[t][0] + 0.5)) * math.sqrt(chosen[t][1]) for t, n in c.items() if t in chosen}
+    unit = lambda v: {t: x / math.sqrt(sum(y * y for y in v.values())) for t, x in v.items()}
+    examples = [(i, unit(weigh(dict(c)))) for i, _, c in learned]
+    for i in range(0, 600, 7):
+        q = unit(weigh(counts[i]))
+        cos = sorted(((-round(sum(x * e.get(t, 0) for t, x in q.items()), 9), j) for j, e in examples))[: toxicity.NEIGHBOURS]
+        want = [(j, -c) for c, j in cos if c < 0]
+        assert np.allclose([c for _, c in want], got.cosines[i], atol=1e-6)
+        if len({c for _, c in want}) == len(want):
+            assert [j for j, _ in want] == list(got.neighbours[i])
+
+
 def test_langid(spark, corpus):
     docs = spark.createDataFrame([(i, t * 3, lang) for i in range(160) for t, lang in [(("the cat and the dog ran to it ", "en"), ("der hund und die katze lief zu ", "de"), ("le chat et le chien sont la ", "fr"))[i % 3]]] + [(1000, None, "en"), (1001, "123 $$", "en"), (None, "der hund und", "de"), (1002, "", None)], "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in langid.predict(docs).collect()}
@@ -510,6 +541,28 @@ def test_chat_layouts():
     assert chat_format.canonical_turns({"other": 1}, m) is None
 
 
+def test_chat_records_of_odd_kinds(spark):
+    m = chat_format.Mappings()
+    turns = lambda r: chat_format.canonical_turns(r, m)
+    assert turns({"messages": [{"role": "user", "content": 5}, {"role": None, "content": None}]}) == [("user", "5"), ("", "")]
+    assert turns({"prompt": 1, "completion": True}) == [("user", "1"), ("assistant", "true")]
+    assert turns({"messages": [{"role": "user", "content": "q"}, "loose", None, 7]}) == [("user", "q"), ("", "loose"), ("", "7")]
+    assert turns({"messages": {"role": "user", "content": "q"}}) is None
+    assert turns({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]}) == [("user", "a\nb")]
+    assert turns({"role": "gpt", "text": "x"}) == [("gpt", "x")] and turns({}) is None and turns({"messages": []}) is None
+    bodies = ['{"messages":[{"role":"user","content":"q"},{"role":"gpt","content":"a"}]}', '{"prompt":"q","completion":"a"}', '{"instruction":"q","output":"a","id":1}', "[1]", "5", "not json", "", None, '{"messages":[1,{"role":"user","content":2}]}', '{"prompt":1,"response":{"x":[1]}}', '{"question":"q","answer":"' + "long " * 60000 + '"}']
+    rows = spark.createDataFrame([(i, 3, b, "x") for i, b in enumerate(bodies)], "conv_id long, turn long, body string, formatted string")
+    got = chat_format.format_records(rows, "conv_id", "turn", F.col("body"))
+    read = {}
+    for r in sorted(got.collect(), key=lambda r: (r.conv_id, r.turn)):
+        read.setdefault(r.conv_id, []).append(chat_format.read_turn(r.formatted))
+    assert read[0] == read[1] == read[2] == [("user", "q"), ("assistant", "a")]
+    assert not {3, 4, 5, 6, 7, 9} & set(read) and read[8] == [("", "1"), ("user", "2")]
+    assert len(read[10][1][1]) == 300000
+    assert chat_format.format_records(rows.limit(0), "conv_id", "turn", F.col("body")).count() == 0
+    assert chat_format.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
 def test_chat_digests(spark):
     rows = [(1, 1, "assistant", "a [INST]", 5), (1, 0, "user", "q", 5), (2, 0, None, None, 5), (3, 2, "assistant", "x", 5), (3, 2, "assistant", "x", 5), (None, 0, "user", "n", 5)]
     got = {r.conv_id: r for r in chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n_turns int")).collect()}
@@ -569,6 +622,16 @@ def test_short_way_equals_the_tokenizer():
         assert np.frombuffer(short.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_other_tokenizers_take_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    whole, own = Tokenizer.from_file(path), packing.WordIds(path)
+    for text in ("two words", " leading  and   runs\n\nof space ", "x" * 300 + " y", ""):
+        assert np.frombuffer(own.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert packing.pack(spark.createDataFrame([(1, "two words")], "doc_id long, text string"), path).first().length == len(whole.encode("two words").ids) + 1
+
+
 # ---- 10
 
 
