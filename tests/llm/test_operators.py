@@ -654,20 +654,83 @@ def test_decontamination(spark):
         rows.append((d, " ".join(text), 0.5))
     rows += [(900, None, 1.0), (901, "", 1.0), (None, items[0][1], 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, similarity double")
-    bench = spark.createDataFrame([*items, (77, None), (78, ""), (79, "the of"), (None, "x y z a b c")], "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in decontam.report(docs, bench).collect()}
+    rows += [(902, "some line\nThe, of!\nthe of more", 1.0), (903, "not the of alone", 1.0), rows[0], rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, similarity double")
+    bench = spark.createDataFrame([*items, (77, None), (78, ""), (79, "the of"), (None, "x y z a b c"), items[1], (80, items[2][1])], "item_id long, text string")
+    every = decontam.report(docs, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in every}
+    leaks |= {(d, 80) for d, i in leaks if i == 2} | {(902, 79)}
     assert got == leaks | {(None, 0)}
+    times = Counter((r.doc_id, r.item_id) for r in every)
+    assert all(n == (3 if d == 0 else 1) * (2 if i == 1 else 1) for (d, i), n in times.items())
     assert {(r.doc_id, r.item_id) for r in decontam.report(docs, bench, block_chars=900).collect()} == got
     kept = decontam.clean(docs, bench)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows if r[0] is not None} - {d for d, _ in leaks}
     assert decontam.report(docs, bench.limit(0)).count() == 0 and decontam.report(docs.limit(0), bench).count() == 0
 
 
+def test_overlaps_equal_a_search_of_all_windows():
+    """Items of all lengths, substituted anywhere, against every place of every item."""
+    rng, missed = random.Random(41), 0
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(words, k=n))) for i, n in enumerate([5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 20, 25, 31, 60])]
+    seeds = decontam.Seeds(items)
+    for _ in range(300):
+        text = rng.choices(words, k=rng.randrange(0, 20))
+        for _ in range(2):
+            part = rng.choice(items)[1].split()
+            n = rng.randrange(4, len(part) + 1)
+            at = rng.randrange(len(part) - n + 1)
+            part = part[at : at + n]
+            for k in rng.sample(range(n), n // 5):
+                part[k] = "changed"
+            text += part + rng.choices(words, k=rng.randrange(0, 9))
+        want = {}
+        for number, item in items:
+            own = item.split()
+            for shift in range(-len(own), len(text)):
+                lo, hi = max(0, shift), min(len(text), shift + len(own))
+                same = np.array([text[i] == own[i - shift] for i in range(lo, hi)], bool)
+                for s in np.flatnonzero(same):
+                    for e in np.flatnonzero(same[s:]) + s + 1:
+                        n, equal = e - s, int(same[s:e].sum())
+                        if n >= min(13, max(1, round(0.8 * len(own)))) and equal >= 0.8 * n:
+                            want[number] = max(want.get(number, 0), equal)
+        got = {r[0]: r[3] for r in decontam.overlaps(" ".join(text), seeds)}
+        assert set(got) == set(want)
+        missed += sum(got[i] < want[i] for i in want)
+    assert missed <= 3  # the longest stretch counts, which need not have most equal tokens
+
+
+def test_masks_hit_every_placement_of_substitutions():
+    from itertools import combinations
+
+    for masks, cases in ((decontam.MASKS, ((13, 2), (15, 3), (20, 4), (25, 5))), (decontam.SHORT_MASKS, ((5, 1), (4, 0)))):
+        for n, k in cases:
+            places = np.array(list(combinations(range(n), k))) if k else np.zeros((1, 0), int)
+            changed = (1 << places).sum(1) if k else np.zeros(1, int)
+            alive = np.ones(len(changed), bool)
+            for mask in masks:
+                bits = sum(1 << i for i, c in enumerate(mask) if c == "1")
+                for at in range(n - len(mask) + 1):
+                    alive &= (changed & (bits << at)) != 0
+            assert not alive.any(), (n, k)
+
+
+def test_decontamination_of_repetitive_texts_is_bounded():
+    import time
+
+    seeds = decontam.Seeds([(i, f"same{i % 2} " * (20 + i)) for i in range(40)] + [(99, "a b " * 15)])
+    began = time.time()
+    assert len(decontam.overlaps("same0 " * 3000, seeds)) == 20 and {r[0] for r in decontam.overlaps("b a " * 3000, seeds)} == {99}
+    assert time.time() - began < 10
+
+
 def test_best_stretch_equals_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(500):
         same = rng.random(rng.integers(1, 25)) < 0.7
-        best = max((e - s for s in range(len(same)) for e in range(s + 1, len(same) + 1) if same[e - 1] and same[s:e].mean() >= 0.8 - 1e-12), default=0)
+        best = max((e - s for s in range(len(same)) for e in range(s + 1, len(same) + 1) if same[s] and same[e - 1] and same[s:e].mean() >= 0.8 - 1e-12), default=0)
         a, b = decontam.best_stretch(same, 0.8)
         assert b - a == best
 
