@@ -7,8 +7,8 @@ was on the learning rows, and takes the codeword of least loss. The score is the
 softmax of the losses at a temperature fitted on the learning rows; a document
 whose two best codewords are close is flagged ambiguous.
 
-Learning uses at most ``rows_per_lang`` documents of each language, taken by
-hash of the id; every document is scored over its whole text.
+Learning uses about ``rows_per_lang`` documents of each language, taken by hash
+of the id, one row of each id; every document is scored over its whole text.
 
 Defined results: null texts, and texts without a letter, are ``und`` with score
 0; a document with a null id is scored, but neither held out nor learned from;
@@ -115,21 +115,19 @@ def learn(x: np.ndarray, langs: list[str]) -> Model:
 
 def fit(docs: DataFrame, modulus: int, remainder: int, rows_per_lang: int = ROWS_PER_LANG) -> Model | None:
     """A model of the languages in the learnable rows, None without any."""
-    ids = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & learnable("doc_id", modulus, remainder))
-    counts = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return None
-    # a share of the hash range for each language, so that about rows_per_lang of its rows fall in
-    share = F.element_at(F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, rows_per_lang / n)))), F.col("lang"))
+    known = docs.filter(F.col("lang").isNotNull() & learnable("doc_id", modulus, remainder))
+    counts = known.groupBy("lang").agg(F.count_distinct("doc_id").alias("n"))
+    # a share of the hash range for each language, so that about rows_per_lang of its ids fall in
     point = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & learnable("doc_id", modulus, remainder) & (point < share))
+    drawn = known.select("doc_id", "text", "lang").join(counts, "lang").filter(point < rows_per_lang / F.col("n"))
+    rows = drawn.groupBy("doc_id", "lang").agg(F.max("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             x = features(texts_of(batch)).astype(np.float16)
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
 
-    got = rows.select("lang", "text").mapInArrow(run, "lang string, x binary").limit(2 * rows_per_lang * len(counts)).toArrow()
+    got = rows.select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("x", "ascending")])  # about rows_per_lang for each
     if not got.num_rows:
         return None
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float16).reshape(got.num_rows, -1).astype(np.float32)

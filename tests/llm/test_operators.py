@@ -253,6 +253,18 @@ def test_langid(spark, corpus):
     assert {r.lang_pred for r in langid.predict(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_langid_with_repeats_long_texts_and_clashing_columns(spark):
+    texts = {"en": "the cat and the dog ran to it ", "de": "der hund und die katze lief zu "}
+    rows = [(i, texts["en" if i % 2 else "de"], "en" if i % 2 else "de", "s", 1.0) for i in range(60)]
+    # one id with very many rows, some of them of another language, doesn't crowd out the rest
+    rows += [(61, texts["en"], "en", "s", 1.0)] * 500 + [(63, texts["de"] * 20000, "de", "s", 1.0), (64, "", "de", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
+    got = langid.predict(docs, rows_per_lang=20).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert all(r.lang_pred == ("en" if r.doc_id % 2 else "de") for r in got if r.doc_id < 62)
+    assert {r.lang_pred for r in got if r.doc_id == 63} == {"de"} and {r.lang_pred for r in got if r.doc_id == 64} == {"und"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 12])
 def test_codewords_are_distinct(n):
     code = langid.codewords(n)
@@ -464,6 +476,45 @@ def test_pipeline_drops_near_copies(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 3}
 
 
+def test_pipeline_keeps_what_it_should(spark, tmp_path):
+    """Every stage on nulls, empty and long texts, repeats and an empty table; run() over all of them."""
+    import corpus_pipeline
+
+    rng = random.Random(77)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 8))) for _ in range(800)]
+    good = lambda n: " ".join(rng.choices(words, k=n)) + "."
+    junk = lambda n: " ".join(w + rng.choice(["$$$", "###", "&&&"]) for w in rng.choices(words, k=n))
+    item = good(30)
+    rows = [(i, good(60) if i % 3 else junk(60)) for i in range(240)]
+    copy = good(80)
+    rows += [(500, copy), (501, copy + " more"), (502, good(20) + " " + item + " " + good(20)), (503, good(40) + " password=hunter22 " + good(9)), (504, good(9000)), (505, None), (506, ""), (None, good(50))]
+    rows += [rows[1], rows[1]]
+    made = lambda r: [(d, t, "en", "src", len(t or "")) for d, t in r]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    for name, kept in (("full", rows), ("none", [])):
+        (tmp_path / name).mkdir()
+        spark.createDataFrame(made(kept), schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(240)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, f"{tmp_path}/full")
+        assert docs.columns == before.columns, name
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        gone = ids(before) - ids(docs)
+        if name == "quality classifier":
+            assert not gone & {i for i in range(240) if i % 3} and len(gone & {i for i in range(240) if not i % 3}) > 70
+        else:
+            assert gone == {"n-gram Jaccard join": {501}, "benchmark decontamination": {502}, "secret scans": set()}[name], name
+    kept = {r.doc_id: r for r in docs.collect()}
+    assert "[secret]" in kept[503].text and kept[503].n_chars == len(kept[503].text) and docs.filter("doc_id = 1").count() == 1
+    out = corpus_pipeline.run(spark, f"{tmp_path}/full")
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and ids(out) == set(kept)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 103), (50, 40), (40, 50), (7, 7)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
