@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sheaf.llm import decontam, jaccard_join, packing, quality, secrets
-from sheaf.llm.common import materialize
+from sheaf.llm.common import discard, materialize
 from sheaf.llm.queries import table, tokenizer_path
 
 #: The near-duplicate stage: words in a shingle, similarity as a fraction.
@@ -51,10 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the documents table."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, "stage-" + name.replace(" ", "-"))
-    return docs
+    """The stages over the documents table; a stage's table is deleted once the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
