@@ -10,9 +10,9 @@ element deleted. One unit more than that is spent where exact segments occur,
 so that an empty exact segment, which tells nothing, need not be indexed on its
 own: only subsets of two empty segments are.
 
-A band may have more exact segments than it indexes. If T of them are there and
-a are indexed, T - (H - 2b) still agree, so any order that all sets share makes
-the first a of two similar sets meet. Segments are ordered by their rarest
+A band may have more exact segments than it indexes. If T of them are there,
+T - (H - 2b) still agree, so any order that all sets share makes the first
+H - 2b + 2 of two similar sets meet; H may be each set's own bound there. Segments are ordered by their rarest
 element, rarest first: what many texts hold alike (licenses, lines of a host) is
 passed over as long as a set has anything of its own. How frequent an element is
 comes from counters of fixed number that are filled in the first pass; they
@@ -24,9 +24,11 @@ sets in the band and fall with the elements in a segment. Bands whose sets may
 differ in one element only use deletions of the whole set; in bands where only
 equal sets are similar there is nothing to index.
 
-Sets that are equal are one class from the start. In a signature's bucket every
-class is tried against the bucket's first class alone; what that links becomes
-one component. Only classes of one bucket that are still in different components
+Sets that are equal are one class from the start. In a signature's bucket the
+classes are sorted so that near copies follow each other, and every one is tried
+against the one before; what that links becomes one component. Then the class
+that shares most buckets is tried, in each bucket, against those of other
+components. Only classes of one bucket that are in different components even
 then meet each other, so a bucket of near copies costs its size, not its square.
 All pairs pass parity sketches first, which are made once a class and whose
 distance never exceeds that of the sets; what is left is verified on the full
@@ -55,8 +57,9 @@ from sheaf.llm.components import connected_components
 #: Similarity as a fraction, words in a shingle.
 SIMILARITY = (90, 100)
 WORDS = 3
-#: A band's sizes are within this factor.
-BAND = 1.35
+#: A band's sizes are within this factor. Wide bands are cheap: a set looks for partners in few of them, and
+#: what it indexes follows from its own size.
+BAND = 2.0
 #: Cost model: chance that two sets of a band share an element of WORDS words, or one of their rarest;
 #: elements in a segment where more are there than are indexed; cost of a chance pair in index rows.
 SHARED = 0.2
@@ -69,6 +72,8 @@ PASSED, KNOWN = 1 << 16, 1 << 17
 #: Bits of the filter that keeps texts out of the verification.
 FILTER_BITS = 24
 CACHE_WORDS = 400_000
+#: Classes that a task remembers, so as not to index them again.
+SEEN = 1_000_000
 
 _U = np.uint64
 _ODD = np.random.default_rng(9).integers(1, 1 << 62, 16, dtype=np.uint64) * _U(2) + _U(1)
@@ -107,6 +112,11 @@ def shingles(text: str | None, words: WordHashes, n: int = WORDS) -> np.ndarray:
     return h[first]
 
 
+def short_of(own: np.ndarray, name: bytes) -> int:
+    """A short class: 24 bits of the set's smallest element, which near copies mostly share, then 39 of the class."""
+    return (int(own[0]) >> 40 << 39) | int.from_bytes(name[:5], "big") >> 1
+
+
 def class_of(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
@@ -118,11 +128,12 @@ def bands_of(size: int, similarity: tuple[int, int] = SIMILARITY) -> list[int]:
     return list(range(own, int(np.log(most) / np.log(BAND) + 1e-9) + 1))
 
 
-def difference(band: int, similarity: tuple[int, int] = SIMILARITY) -> int:
-    """The most elements in which similar sets, the larger of them in this band, can differ."""
+def difference(band: int, similarity: tuple[int, int] = SIMILARITY, size: int | None = None) -> int:
+    """The most elements in which similar sets, the larger of them in this band, can differ; of a set of one size, if given."""
     largest = int(np.floor(BAND ** (band + 1) * (1 + 1e-9)))
+    both = 2 * largest if size is None else size + min(largest, size * similarity[1] // similarity[0])
     # |R - S| + |S - R| <= (1 - s) / (1 + s) * (|R| + |S|)
-    return (similarity[1] - similarity[0]) * 2 * largest // (similarity[1] + similarity[0])
+    return (similarity[1] - similarity[0]) * both // (similarity[1] + similarity[0])
 
 
 def allocation(h: int, size: float, sets: int, shared: float = SHARED, rare: float = RARE) -> tuple[int, int, int]:
@@ -190,7 +201,7 @@ def counter_of(own: np.ndarray) -> np.ndarray:
 
 
 def sized(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, class and sketch of every row; class and sketch are null without shingles.
+    """doc_id, n_shingles, class, short class and sketch of every row; the last three are null without shingles.
 
     Beside them, a row of each task has the counters (slots, counts) that are
     fuller there than others.
@@ -204,16 +215,18 @@ def sized(docs: DataFrame, n: int = WORDS) -> DataFrame:
                 counters[counter_of(own)] += 1
                 total += len(own)
             none = pa.nulls(len(sets), pa.list_(pa.int32()))
-            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()), pa.array([parity(s) if len(s) else None for s in sets], pa.list_(pa.int64()))]
+            classes = [class_of(s) if len(s) else None for s in sets]
+            shorts = [short_of(s, c) if c else None for s, c in zip(sets, classes, strict=True)]
+            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.binary()), pa.array(shorts, pa.int64()), pa.array([parity(s) if len(s) else None for s in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*columns, none, none], names)
         full = np.flatnonzero(counters > 4 + 4 * total / len(counters))
         if len(full) > PASSED:
             full = full[np.argpartition(counters[full], len(full) - PASSED)[len(full) - PASSED :]]
         lists = [pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (full, np.minimum(counters[full], 2**31 - 1))]
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.list_(pa.int64())), *lists], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), *lists], names)
 
-    names = ["doc_id", "n_shingles", "class", "sketch", "slots", "counts"]
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, sketch array<long>, slots array<int>, counts array<int>")
+    names = ["doc_id", "n_shingles", "class", "short", "sketch", "slots", "counts"]
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, short long, sketch array<long>, slots array<int>, counts array<int>")
 
 
 def levels_of(rows: DataFrame) -> np.ndarray:
@@ -237,16 +250,20 @@ def indexed(docs: DataFrame, plan: dict[int, tuple[int, int, int]], levels: np.n
                 own = shingles(text, words, n)
                 if not len(own):
                     continue
-                short = int.from_bytes(class_of(own)[:8], "big", signed=True)
-                if short in seen:
+                name = class_of(own)
+                if name in seen:
                     continue
-                if len(seen) >= 2_000_000:
+                if len(seen) >= SEEN:
                     seen.clear()
-                seen.add(short)
+                seen.add(name)
+                short = short_of(own, name)
                 level = known[counter_of(own)]
                 for band in bands_of(len(own), similarity):
-                    a, total, b = plan.get(band, (0, 0, 0))
-                    got = signatures(own, band, a, b, total, level)
+                    most = difference(band, similarity, len(own))
+                    if not most:
+                        continue
+                    _, total, b = plan.get(band, (0, 0, 0))
+                    got = signatures(own, band, max(0, most + 2 - 2 * b) if total else 0, b, total, level)
                     found.append(got)
                     owner.append(short)
                     times.append(len(got))
@@ -256,27 +273,35 @@ def indexed(docs: DataFrame, plan: dict[int, tuple[int, int, int]], levels: np.n
     return docs.mapInArrow(run, "sig long, short long")
 
 
-def first_of_bucket(rows: DataFrame) -> DataFrame:
-    """(sig, first, short): the other classes of each bucket beside its first.
+def neighbours_in_buckets(rows: DataFrame) -> DataFrame:
+    """(sig, before, short): the classes of each bucket that has several beside the one before; null for the first.
 
-    Rows come sorted, so a bucket of any size passes in batches.
+    Rows come sorted, so a bucket of any size passes in batches. Short classes
+    begin with the set's smallest element, so near copies mostly follow each
+    other, and in the same order in all the buckets they share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = first = before = None
+        last: tuple | None = None  # signature, class and whether it had one before it
         for batch in batches:
             sig, short = batch.column("sig").to_numpy(), batch.column("short").to_numpy()
+            if last is not None:
+                sig, short = np.concatenate([[last[0]], sig]), np.concatenate([[last[1]], short])
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (short[1:] != short[:-1])
+            sig, short = sig[new], short[new]
             if not len(sig):
                 continue
-            new = np.r_[sig[0] != last, sig[1:] != sig[:-1]] if last is not None else np.r_[True, sig[1:] != sig[:-1]]
-            begins = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-            lead = np.where(begins >= 0, short[np.maximum(begins, 0)], first if first is not None else 0)
-            again = np.r_[(not new[0]) and short[0] == before, (sig[1:] == sig[:-1]) & (short[1:] == short[:-1])]
-            keep = (lead != short) & ~again.astype(bool)
-            last, first, before = sig[-1], lead[-1], short[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(lead[keep]), pa.array(short[keep])], ["sig", "first", "short"])
+            joined = np.zeros(len(sig), bool)
+            joined[1:] = sig[1:] == sig[:-1]
+            joined[0] = last is not None and last[2]
+            at = np.flatnonzero(joined[1:]) + 1
+            second = at[~joined[at - 1]]
+            before = pa.concat_arrays([pa.array(short[at - 1]), pa.nulls(len(second), pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([sig[at], sig[second]])), before, pa.array(np.concatenate([short[at], short[second - 1]]))], ["sig", "before", "short"])
+            last = sig[-1], short[-1], joined[-1]
 
-    return rows.repartition("sig").sortWithinPartitions("sig", "short").mapInArrow(run, "sig long, first long, short long")
+    return rows.repartition("sig").sortWithinPartitions("sig", "short").mapInArrow(run, "sig long, before long, short long")
 
 
 def parity(own: np.ndarray) -> np.ndarray:
@@ -349,9 +374,8 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     made = materialize(sized(docs, words), "jaccard-rows")
     rows = made.filter("slots IS NULL").select("doc_id", "n_shingles", "class")
-    short = F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")
-    classes = made.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    classes = materialize(classes.select("class", short.alias("short"), "rep", "n", "sketch"), "jaccard-classes")
+    classes = made.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("short").alias("short"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes, "jaccard-classes")
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(BAND))) + 1e-9).cast("int")
     counts = {r["band"]: (r["sets"], r["size"]) for r in classes.groupBy(own.alias("band")).agg(F.count("*").alias("sets"), F.avg("n").alias("size")).collect()}
     # a set is indexed in its own band and those of the largest partners it may have
@@ -361,7 +385,7 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
         sets, size = counts.get(band, (0, BAND**band))
         plan[band] = allocation(difference(band, similarity), size, sets + sum(counts.get(band - k, (0, 0))[0] for k in range(1, reach)), SHARED ** (words / WORDS), RARE ** (words / WORDS))
 
-    buckets = materialize(first_of_bucket(indexed(docs, plan, levels_of(made), similarity, words)), "jaccard-buckets")
+    buckets = materialize(neighbours_in_buckets(indexed(docs, plan, levels_of(made), similarity, words)), "jaccard-buckets")
     named = classes.filter("rep IS NOT NULL")
 
     def pairs_of(links: DataFrame) -> DataFrame:
@@ -369,27 +393,44 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
         one, two = (named.select(F.col("short").alias(s), F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_sketch")) for s, c in (("s", "a"), ("t", "b")))
         return links.join(one, "s").join(two, "t").filter(may_reach("a", "b", similarity)).select("a", "b")
 
-    tried = materialize(pairs_of(buckets.select(F.col("first").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")
+    tried = materialize(pairs_of(buckets.filter("before IS NOT NULL").select(F.col("before").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")
     linked = materialize(verified(tried, docs, classes, similarity, words), "jaccard-links")
     found = connected_components(linked)
 
-    # classes that share a bucket, but neither with its first class nor in one component so far
-    label = named.join(found, named["class"] == found["node"], "left").select("short", F.coalesce("component", "class").alias("component"))
-    marked = buckets.select("sig", "short").join(label, "short")
-    mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
-    open_ = materialize(marked.join(mixed_, "sig"), "jaccard-open")
-    discard(buckets, tried)
-    held = open_.join(named.select("short", "n", "sketch"), "short")
+    def open_buckets(rows: DataFrame) -> DataFrame:
+        """The rows (sig, short) of buckets whose classes are not in one component so far, with the component."""
+        label = named.join(found, named["class"] == found["node"], "left").select("short", F.coalesce("component", "class").alias("component"))
+        marked = rows.select("sig", "short").join(label, "short")
+        mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
+        return materialize(marked.join(mixed_, "sig"), "jaccard-open")
+
+    def more(links: DataFrame, tables: tuple[DataFrame, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """tried, linked and found after trying other pairs (s, t) of classes; tables are deleted."""
+        fresh = links.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t")).distinct()
+        fresh = materialize(pairs_of(fresh).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        discard(*tables)
+        if fresh.isEmpty():
+            discard(fresh)
+            return tried, linked, found
+        every = materialize(linked.unionByName(verified(fresh, docs, classes, similarity, words)), "jaccard-links")
+        both = materialize(tried.unionByName(fresh), "jaccard-pairs")
+        discard(tried, fresh, linked, found)
+        return both, every, connected_components(every)
+
+    # the class of a bucket that shares most with others is the nearest to the middle of a group: it is tried against all of other components
+    open_ = open_buckets(buckets)
+    degree = open_.groupBy("short").agg(F.count("*").alias("degree"))
+    hub = open_.join(degree, "short").groupBy("sig").agg(F.max_by(F.struct("short", "component"), F.struct("degree", "short")).alias("hub"))
+    tried, linked, found = more(open_.join(hub, "sig").filter("component <> hub.component").select(F.col("hub.short").alias("s"), F.col("short").alias("t")), (buckets,))
+
+    # and all pairs that are in different components even so
+    rest = open_buckets(open_)
+    discard(open_)
+    held = rest.join(named.select("short", "n", "sketch"), "short")
     x, y = (held.select("sig", *(F.col(c).alias(f"{side}_{c}") for c in ("short", "component", "n", "sketch"))) for side in ("x", "y"))
-    rest = x.join(y, "sig").filter((F.col("x_component") < F.col("y_component")) & may_reach("x", "y", similarity))
-    rest = rest.select(F.col("x_short").alias("s"), F.col("y_short").alias("t")).distinct()
-    one, two = (named.select(F.col("short").alias(s), F.col("class").alias(c)) for s, c in (("s", "a"), ("t", "b")))
-    rest = materialize(rest.join(one, "s").join(two, "t").select("a", "b"), "jaccard-rest")
-    if not rest.isEmpty():
-        more = materialize(linked.unionByName(verified(rest, docs, classes, similarity, words)), "jaccard-links")
-        discard(linked, found)
-        linked, found = more, connected_components(more)
-    discard(open_, rest, linked)
+    met = x.join(y, "sig").filter((F.col("x_component") < F.col("y_component")) & may_reach("x", "y", similarity))
+    tried, linked, found = more(met.select(F.col("x_short").alias("s"), F.col("y_short").alias("t")), (rest,))
+    discard(tried, linked)
 
     grouped = classes.join(found, classes["class"] == found["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "rep")
     least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -429,11 +429,22 @@ def test_signatures_meet_for_every_pair_that_reaches_the_similarity():
                 if exact:  # more exact segments than are indexed, rarest first
                     total = max(exact, n // 2)
                     level = lambda own: ((own >> np.uint64(7)) % np.uint64(5)).astype(np.uint8)
-                    assert len(np.intersect1d(*(jaccard_join.signatures(s, band, exact, deletions, total, level(s)) for s in (one, two)))) or band not in bands_of_both
+                    own = lambda s: max(0, jaccard_join.difference(band, size=len(s)) + 2 - 2 * deletions)
+                    assert len(np.intersect1d(*(jaccard_join.signatures(s, band, own(s), deletions, total, level(s)) for s in (one, two))))
                 met |= len(np.intersect1d(jaccard_join.signatures(one, band, exact, deletions), jaccard_join.signatures(two, band, exact, deletions))) > 0
             assert met
 
 
+def test_allocation_leaves_no_gap():
+    for band in range(1, 14):
+        for similarity in ((90, 100), (80, 100), (60, 100)):
+            for sets in (10, 10**4, 10**7):
+                h = jaccard_join.difference(band, similarity)
+                a, total, b = jaccard_join.allocation(h, 1.4 * 2**band, sets)
+                assert total >= a and (not h or 2 * b > h or a + 2 * b >= h + 2)
+                assert all(jaccard_join.difference(band, similarity, n) <= h for n in range(2**band, min(2 ** (band + 1), 2000)))
+
+
 def test_one_of_each_keeps_columns_and_groups(spark, corpus):
     docs = frame(spark, corpus)
     kept = jaccard_join.one_of_each(docs)
