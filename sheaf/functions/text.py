@@ -48,7 +48,7 @@ def braced(text: str, at: int) -> tuple[str, int]:
 
 def readable_latex(latex: str) -> str:
     """Fractions, scripts, Greek letters and operators of a formula as Unicode text."""
-    greek = {g: chr(c) for g, c in zip(GREEK, [*range(0x3B1, 0x3C2), *range(0x3C3, 0x3CA)], strict=False)}
+    greek = {g: chr(c) for g, c in zip(GREEK, (c for c in range(0x3B1, 0x3CA) if c not in (0x3BF, 0x3C2)), strict=True)}  # neither omicron nor the final sigma
     out, at, text = [], 0, latex.strip().strip("$").strip()
     while at < len(text):
         c = text[at]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sheaf.operators.joins import clusters, greedy_pairs
 from sheaf.operators.rules import finding
 
+#: How footnotes, their marks and variable lines are written.
 FOOT = r"(?s)<!--\s*ssir:foot:([0-9A-Za-z_-]+)\s*-->(.*?)<!--\s*ssir:/\s*foot\s*-->"
 CITE = r"\[foot:([0-9A-Za-z_-]+(?:[、,，][0-9A-Za-z_-]+)*)\]"
 VARIABLE = r"(?U)^(\S{1,20}?)\s*[—–-]{1,2}\s*(.+?)[；;。.]?$"
@@ -83,7 +84,7 @@ def absorbed_notes(blocks: DataFrame) -> DataFrame:
     opens = (F.col("kind") == "table") & last_row.rlike(r"(?U)^\s*\|\s*注\s*\d*\s*[:：]")
     follows = (F.col("kind") == "paragraph") & F.col("text").rlike(r"(?U)^(?:注\s*\d*\s*[:：]|[a-z]\s*(?:[)）]|\s))")
     held = blocks.withColumn("_t", F.last(F.when(opens, F.col("pos")).when(~follows, F.lit(-1)), True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    taken = held.filter(follows & (F.col("_t") > 0))
+    taken = held.filter(follows & (F.col("_t") >= 0))
     spill = taken.groupBy("doc_id", F.col("_t").alias("pos")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]), "<br>").alias("_spill"))
     rest = blocks.join(taken.select("doc_id", "pos"), ["doc_id", "pos"], "left_anti").join(spill, ["doc_id", "pos"], "left")
     return rest.withColumn("text", F.when(F.col("_spill").isNotNull(), F.regexp_replace("text", r"(?U)\s*\|\s*$", F.concat(F.lit("<br>"), "_spill", F.lit(" |")))).otherwise(F.col("text"))).drop("_spill")

@@ -6,6 +6,7 @@ it changed something.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,7 +21,7 @@ from sheaf.functions.citations import DESIGNATORS
 #: what is left alone, and what counts as Han text.
 WIDE = {",": "，", ";": "；", ":": "：", "?": "？", "!": "！"}
 BRACKETS = {"(": "（", ")": "）"}
-MASKED = r"\$\$[^$]*\$\$|\$[^$\n]*\$|<!--.*?-->|`[^`\n]*`|!\[[^\]]*\]\([^)]*\)|https?://\S+"
+MASKED = r"\$\$[^$]*\$\$|\$[^$\n]*\$|<!--[^\n]*?-->"
 HAN = "　-〿㐀-䶿一-鿿豈-﫿！-｠￠-￦"
 
 
@@ -113,40 +114,48 @@ def term_spacing(blocks: DataFrame) -> DataFrame:
     return changed(held, "text", F.when(F.col("_terms") & (F.col("kind") == "paragraph"), fixed).otherwise(F.col("text")), "CSM-OCR-004").drop("_terms")
 
 
-def wide_punctuation(text: str) -> str:
-    """Half-width marks beside Han become full-width, brackets only as pairs; masked parts stay.
+_HAN = re.compile(f"[{HAN}]")
+_MARK = re.compile(f"(?<=[{HAN}])[{re.escape(''.join(WIDE))}]|[{re.escape(''.join(WIDE))}](?=[{HAN}])")
+_STOP = re.compile(rf"(?<=[{HAN}])\.(?=[^\S\n]*$)", re.M)
+
+
+def bracket_pairs(text: str) -> list[tuple[int, int]]:
+    """Places of brackets that belong together, of either width."""
+    opened, pairs = [], []
+    for m in re.finditer("[(（)）]", text):
+        if m[0] in "(（":
+            opened.append(m.start())
+        elif opened:
+            pairs.append((opened.pop(), m.start()))
+    return pairs
 
-    A full stop changes at the end of a line after Han alone.
-    """
-    import re
 
-    kept: list[str] = []
+def widened(text: str) -> str:
+    """One round: what stands beside Han text, as it was before the round."""
+    seen = re.sub(MASKED, lambda m: "\ue000" * len(m[0]), text)
+    new: dict[int, str] = {m.start(): WIDE[m[0]] for m in _MARK.finditer(seen)} | {m.start(): "。" for m in _STOP.finditer(seen)}
+    word = lambda c: c.isascii() and c.isalnum()
+    for a, b in bracket_pairs(seen):
+        mixed = (seen[a] == "(") != (seen[b] == ")")
+        outside = seen[max(0, a - 1) : a], seen[b + 1 : b + 2]
+        beside = _HAN.search(outside[0] + seen[a + 1 : b] + outside[1]) and not all(map(word, outside))
+        if mixed or (seen[a] == "(" and beside):
+            new |= {a: "（", b: "）"}
+    return "".join(new.get(i, c) for i, c in enumerate(text))
 
-    def hide(m: re.Match) -> str:
-        kept.append(m[0])
-        return f"\ue000{len(kept) - 1}\ue001"
 
-    out = re.sub(MASKED, hide, text, flags=re.S)
-    han = f"[{HAN}]"
+def wide_punctuation(text: str) -> str:
+    """Half-width marks beside Han become full-width, brackets only as pairs; formulas and comments stay.
+
+    Brackets also change for Han between them, but not inside a word. A full
+    stop changes at the end of a line after Han alone. Three rounds at most, as
+    a changed bracket is Han to its neighbour.
+    """
     for _ in range(3):
-        before = out
-        for narrow, wide in WIDE.items():
-            out = re.sub(rf"(?<={han}){re.escape(narrow)}(?!\d)\s?|(?<!\d){re.escape(narrow)}\s?(?={han})", wide, out)
-        out = re.sub(rf"(?<={han})\.(?=\s*$)", "。", out, flags=re.M)
-        opened: list[int] = []
-        chars = list(out)
-        for i, c in enumerate(chars):
-            if c in "(（":
-                opened.append(i)
-            elif c in ")）" and opened:
-                j = opened.pop()
-                beside = "".join(chars[max(0, j - 1) : j] + chars[j + 1 : j + 2] + chars[i - 1 : i] + chars[i + 1 : i + 2])
-                if chars[j] + c in ("(）", "（)") or (chars[j] == "(" and re.search(han, beside)):
-                    chars[j], chars[i] = "（", "）"
-        out = "".join(chars)
-        if out == before:
+        before, text = text, widened(text)
+        if text == before:
             break
-    return re.sub("\ue000(\\d+)\ue001", lambda m: kept[int(m[1])], out)
+    return text
 
 
 @F.pandas_udf(T.StringType())

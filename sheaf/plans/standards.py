@@ -65,7 +65,7 @@ def title_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sentence for each order line that cites a standard, and another after it."""
-    o = table(spark, sf_dir, "lineitem").filter("l_linenumber <= 2")
+    o = table(spark, sf_dir, "lineitem")
     lead = F.when(F.col("l_returnflag") == "R", "应符合 ").when(F.col("l_returnflag") == "A", "参见 ").otherwise("采用 ")
     text = F.concat(lead, F.lit("GB/T "), _s("l_partkey"), F.lit("—20"), F.lpad((F.col("l_quantity").cast("int") % 30).cast("string"), 2, "0"), F.lit(",5."), _s("l_linenumber"), F.lit("。图样见表"), _s("l_linenumber"), F.lit("。"))
     return o.select("l_orderkey", "l_linenumber", text.alias("text"), F.lit("paragraph").alias("presentation"), F.lit("5").alias("clause_number"), F.lit("要求").alias("clause_title"), F.lit(False).alias("example"), F.lit(False).alias("guide"))
@@ -73,13 +73,13 @@ def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT l_orderkey, l_linenumber, 'GB_T_' || l_partkey AS standard_id, '20' || lpad(CAST(CAST(floor(l_quantity) AS INTEGER) % 30 AS VARCHAR), 2, '0') AS version, '5.' || l_linenumber AS cited_part, 'dated' AS kind,
-  CASE WHEN l_returnflag = 'R' THEN 'normative' ELSE 'informative' END AS nature FROM lineitem WHERE l_linenumber <= 2""")
+  CASE WHEN l_returnflag = 'R' THEN 'normative' ELSE 'informative' END AS nature FROM lineitem""")
 def external_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Citations with version, clause and nature."""
     return citations.external(_cited(spark, sf_dir), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "standard_id", "version", "cited_part", "kind", "nature")
 
 
-@query("SELECT l_orderkey, l_linenumber, 'internalTable' AS target_type, CAST(l_linenumber AS VARCHAR) AS number FROM lineitem WHERE l_linenumber <= 2")
+@query("SELECT l_orderkey, l_linenumber, 'internalTable' AS target_type, CAST(l_linenumber AS VARCHAR) AS number FROM lineitem")
 def internal_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of a document's own tables."""
     return citations.internal(_cited(spark, sf_dir), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "target_type", "number")
@@ -115,7 +115,7 @@ def cited_but_unlisted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Markdown document for each customer: front matter, a chapter, a table, and a clause for each order with gaps left open."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0")
+    o = table(spark, sf_dir, "orders")
     n = F.col("n")
     clauses = o.selectExpr("o_custkey", "o_orderkey", "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r").selectExpr("o_custkey", "r", "r + (CASE WHEN r >= 3 THEN 1 ELSE 0 END) AS n", "o_orderkey")
     line = F.concat(F.lit("### 2."), n.cast("string"), F.lit(" 条款\n\n见表"), n.cast("string"), F.lit("。不大于 "), _s("o_orderkey"), F.lit("\n\n- 甲\n- 乙\n"))
@@ -127,7 +127,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DOCUMENTS = """
 SELECT o_custkey AS doc_id, r, r + CASE WHEN r >= 3 THEN 1 ELSE 0 END AS n FROM (
-  SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders WHERE o_orderkey % 5 <> 0)"""
+  SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders)"""
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

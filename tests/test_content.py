@@ -17,6 +17,15 @@ def test_latex(latex, want):
     assert text.readable_latex(latex) == want
 
 
+def test_every_greek_letter():
+    import unicodedata
+
+    for name in text.GREEK:
+        written = "lamda" if name == "lambda" else name
+        assert text.readable_latex("\\" + name) == unicodedata.lookup(f"GREEK SMALL LETTER {written.upper()}")
+        assert text.readable_latex("\\" + name.title()) == unicodedata.lookup(f"GREEK CAPITAL LETTER {written.upper()}")
+
+
 @pytest.mark.parametrize(("given", "want"), [("*a* **b** ***c***", "<em>a</em> <strong>b</strong> <strong><em>c</em></strong>"), ("2 * 3 * 4", "2 * 3 * 4"), ("*open", "*open"), ("****", "****")])
 def test_emphasis(given, want):
     assert text.emphasis_tags(given) == want

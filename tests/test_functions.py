@@ -18,7 +18,7 @@ def test_names(spark):
     assert values(spark, naming.file_stem(a), "GB/T 15034-2012", "GB 15034—2012", "DB11/T 1000-2020", "Q/XKBZ 002-2026", "T/CAS 501-2021", "none", "") == ["GB_T_15034-2012", "GB_15034-2012", "DB11_T_1000-2020", "Q_XKBZ_002-2026", "T_CAS_501-2021", "", ""]
     assert values(spark, naming.escaped_number(a), "GB/T 1.1—2020", "ISO 80000-1:2022", "GB/T 4208一2017", "IEC 60027") == ["GB_T_1.1-2020", "ISO_80000-1_2022", "GB_T_4208-2017", "IEC_60027"]
     assert values(spark, naming.number_in_text(a), "见 GB/T 15034—2012 的规定", "nothing here") == ["GB/T 15034-2012", ""]
-    assert values(spark, naming.artifact_id(a), "x/GB_T_1.1-2020.canonical.md", "GB_T_2-2001.render-report.json", "plain.txt") == ["GB_T_1.1-2020", "GB_T_2-2001", "plain.txt"]
+    assert values(spark, naming.artifact_id(a), "x/GB_T_1.1-2020.canonical.md", "GB_T_2-2001.render-report.json", "plain.txt", "none") == ["GB_T_1.1-2020", "GB_T_2-2001", "plain", "none"]
     assert values(spark, naming.element_id(a, b), ("S", "#8.2"), ("S#", "8"), ("S", "8 2"), ("", "8")) == ["S#8.2", None, None, None]
     assert values(spark, naming.id_parts(a), "S#8.2", "bad") == [("S", "8.2"), (None, None)]
     assert values(spark, naming.element_path(a, b), ("table", "3)"), ("Figure", "A.1"), ("table", "。"), ("odd", "1")) == ["Table_3", "Figure_A.1", None, None]

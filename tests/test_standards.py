@@ -127,7 +127,7 @@ def test_markers_formulas_terms_and_footnotes(spark):
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("温度,压力", "温度，压力"), ("见(表1)和(a)", "见（表1）和（a）"), ("a, b (c)", "a, b (c)"), ("公式 $a, b$ 后,完.", "公式 $a, b$ 后，完。"), ("（半开)", "（半开）"), ("1:2 比例:三", "1:2 比例：三"), ("<!-- 甲, 乙 -->", "<!-- 甲, 乙 -->")],
+    [("温度,压力", "温度，压力"), ("见(表1)和(a)", "见（表1）和（a）"), ("a, b (c)", "a, b (c)"), ("见表,5处", "见表，5处"), ("值:5", "值：5"), ("甲, 乙", "甲， 乙"), ("f(x中y)", "f（x中y）"), ("a(中)b", "a(中)b"), ("`甲,乙`", "`甲，乙`"), ("(见8.4);乙", "（见8.4）；乙"), ("公式 $a, b$ 后,完.", "公式 $a, b$ 后，完。"), ("（半开)", "（半开）"), ("1:2 比例:三", "1:2 比例：三"), ("<!-- 甲, 乙 -->", "<!-- 甲, 乙 -->")],
 )
 def test_punctuation(text, want):
     assert repair.wide_punctuation(text) == want == repair.wide_punctuation(want)
