@@ -50,6 +50,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheaf.llm.common import discard, materialize, slices, small_batches
 from sheaf.llm.components import connected_components
@@ -316,18 +317,41 @@ def parity(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(">i8").astype(np.int64)
 
 
+def place_of(column: str | Column) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+
+def bitmap_of(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which the places of all ids are set."""
+    places = ids.select(place_of(ids.columns[0]).alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 AS int)))").alias("bits"))
+    out = np.zeros((1 << FILTER_BITS) // 64, np.int64)
+    for w, bits in places.collect():
+        out[w] = bits
+    return out
+
+
+def marked(docs: DataFrame, bitmap: np.ndarray, column: str) -> DataFrame:
+    """docs with a column that tells whether the id's place is set in the bitmap; a null id's isn't."""
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    names = [*docs.columns, column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(len(names) - 1).fill_null(0).to_numpy()
+            hit = ((sent.value[p // 64] >> (p % 64)) & 1 == 1) & batch.column(len(names) - 1).is_valid().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hit, pa.bool_())], names)
+
+    doc_id = F.col("doc_id").cast("long")
+    return docs.withColumn(column, F.when(doc_id.isNotNull(), place_of(doc_id))).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.BooleanType())]))
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
     """(class, elements) of the classes whose representative rows are wanted (rep).
 
     A bitmap of fixed size keeps most other texts from being cut; what passes by
     chance finds no partner in the join that follows.
     """
-    place = F.pmod(F.xxhash64("rep"), F.lit(1 << FILTER_BITS))
-    words_ = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 AS int)))").alias("bits")).collect()
-    bitmap = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-    for w, bits in words_:
-        bitmap[w] = bits
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select("rep")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -337,7 +361,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
             found = [own for t in batch.column("text").to_pylist() if len(own := shingles(t, words, n))]
             yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["class", "elements"])
 
-    at = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("p"), "text")
+    at = docs.select(place_of("doc_id").alias("p"), "text")
     return at.mapInArrow(run, "class binary, elements array<long>").dropDuplicates(["class"])
 
 
@@ -452,9 +476,13 @@ def one_of_each(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words
     ids = joined.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_other"))
     ids = materialize(ids.agg(F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")), "jaccard-ids")
     discard(*joined.sheaf_tables)
-    kept = docs.join(ids.filter("low = high AND low <> _other").select("_other"), doc_id == F.col("_other"), "left_anti")
-    twice = ids.filter("n > 1").select("_other")
-    if twice.isEmpty():
-        return kept
+    gone, twice = ids.filter("low = high AND low <> _other").select("_other"), ids.filter("n > 1").select("_other")
+    # only rows of such ids, and a few that share their places, are moved to be compared with them
+    mark = "_met"
+    while mark in docs.columns:
+        mark += "_"
+    held = marked(docs, bitmap_of(gone.unionByName(twice)), mark)
+    kept = held.filter(mark).drop(mark).join(gone, doc_id == F.col("_other"), "left_anti")
     once = kept.join(twice, doc_id == F.col("_other"), "left_anti")
-    return once.unionByName(kept.join(twice, doc_id == F.col("_other"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    again = kept.join(twice, doc_id == F.col("_other"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return held.filter(~F.col(mark)).drop(mark).unionByName(once).unionByName(again)
