@@ -72,8 +72,9 @@ class Known(dict):
 
     def counts(self, text: str) -> dict[int, int]:
         out: dict[int, int] = {}
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            for t in self[word]:
+        words = Counter(_WORD.findall(text.lower()))
+        for terms, n in zip(map(self.__getitem__, words), words.values(), strict=True):
+            for t in terms:
                 out[t] = out.get(t, 0) + n
         return out
 
@@ -118,12 +119,16 @@ class Index:
             sizes = self.pointers[terms[:, None], blocks[None, :] + 1].ravel() - begins
             if not (total := int(sizes.sum())):
                 continue
-            which = np.repeat(np.arange(len(sizes)), sizes)
-            posting = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begins[which]
-            found, place = np.unique(self.examples[posting], return_inverse=True)
-            score = np.bincount(place, self.values[posting] * w[which // len(blocks)])
+            posting = np.arange(total) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes)
+            place = self.examples[posting] + np.repeat(np.tile((np.arange(len(blocks)) - blocks) * BLOCK, len(terms)), sizes)
+            score = np.bincount(place, self.values[posting] * np.repeat(np.repeat(w, len(blocks)), sizes))
+            hit = np.flatnonzero(score)  # weights are over 0
+            found = blocks[hit // BLOCK] * BLOCK + hit % BLOCK
             keep = found != but
-            rows, cosines = np.r_[rows, found[keep]], np.r_[cosines, score[keep]]
+            rows, cosines = np.r_[rows, found[keep]], np.r_[cosines, score[hit[keep]]]
+            if len(cosines) > k:  # those that can't be among the first k needn't be sorted
+                near = cosines >= np.partition(cosines, len(cosines) - k)[len(cosines) - k] - 1e-11
+                rows, cosines = rows[near], cosines[near]
             best = np.lexsort((rows, -np.round(cosines, 12)))[:k]
             rows, cosines = rows[best], cosines[best]
         return rows, cosines
