@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, decontam, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
+from sheaf.llm import chat_format, decontam, importance, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_quality_classifier": op2_quality_classifier,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
     "op1_voronoi_knn": """
@@ -113,4 +118,30 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op13_importance_resampling": r"""
+WITH tab AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT unnest(range(0, 256)) AS b)),
+texts AS (
+  SELECT doc_id, false AS target, row_number() OVER () AS k, text FROM documents
+  UNION ALL SELECT NULL, true, -row_number() OVER (), text FROM benchmark),
+words AS (
+  SELECT k, target, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+hashed AS (
+  SELECT w, xor(list_reduce(list_transform(range(0, octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT),
+    lambda c, b: xor(t[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM words), tab),
+totals AS (SELECT bucket, count(*) FILTER (WHERE NOT target) AS s, count(*) FILTER (WHERE target) AS t FROM words JOIN hashed USING (w) GROUP BY bucket),
+sizes AS (SELECT sum(s) AS n_s, sum(t) AS n_t FROM totals),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (n_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (n_t + 10000)::DOUBLE))) AS BIGINT) AS gain FROM totals, sizes),
+weights AS (
+  SELECT k, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE NOT target GROUP BY k),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (k) WHERE NOT target),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed""",
 }
