@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch where the session has Spark's default; texts can be long.
@@ -55,6 +55,26 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """rows with their number (long, from 1) in an order, as a table.
+
+    Ranges of the order are sorted each on its own; a range's first number
+    comes from the sizes of the ranges before it, one for each partition.
+    """
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), f"{label}-ranges")
+    before, starts = 0, []
+    for part, count in sorted(tuple(r) for r in dealt.groupBy("_part").count().collect()):
+        starts.append((part, before))
+        before += count
+    first = spark.createDataFrame(starts, "_part int, _before long")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_before")
+    out = materialize(dealt.join(F.broadcast(first), "_part").withColumn(name, place).drop("_part", "_before"), label)
+    discard(dealt)
+    return out
+
+
 def fold_of(doc_id: str | Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod modulus; null for a null id."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

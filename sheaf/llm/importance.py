@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import discard, materialize, slices, small_batches
+from sheaf.llm.common import materialize, numbered, slices, small_batches
 
 NODES = 400_000
 PART = 1 << 20
@@ -190,27 +190,6 @@ def weigh(docs: DataFrame, gain: np.ndarray, max_words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, n_features long, n_words long, weight long")
 
 
-def ranked(rows: DataFrame, take: int) -> DataFrame:
-    """rows with rank, 1 to take by score descending and doc_id ascending, else null.
-
-    Ranges of scores are sorted each on its own; a range's first rank is the
-    number of rows in the ranges before it, one number for each partition.
-    """
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("score").desc(), F.col("doc_id").asc()]
-    dealt = materialize(rows.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), "resample-ranges")
-    before, starts = 0, []
-    for part, count in sorted(tuple(r) for r in dealt.groupBy("part").count().collect()):
-        starts.append((part, before))
-        before += count
-    first = spark.createDataFrame(starts, "part int, before long")
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) + F.col("before")
-    out = materialize(dealt.join(F.broadcast(first), "part").withColumn("rank", F.when(place <= take, place)).drop("part", "before"), "resample-ranks")
-    discard(dealt)
-    return out
-
-
 def resample(docs: DataFrame, target: DataFrame, buckets: int = 10_000, max_words: int = 1, least_words: int = 20, percent: int = 10) -> DataFrame:
     """doc_id, n_features, weight, score and rank of every document; those with a rank are drawn.
 
@@ -222,5 +201,6 @@ def resample(docs: DataFrame, target: DataFrame, buckets: int = 10_000, max_word
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
     scored = materialize(weigh(docs, gains(corpus, goal), max_words).withColumn("score", F.col("weight") + noise), "resample-scores")
     able = scored.filter(F.col("n_words") >= least_words)
-    drawn = ranked(able, able.count() * percent // 100)
+    take = able.count() * percent // 100
+    drawn = numbered(able, [F.col("score").desc(), F.col("doc_id").asc()], "rank", "resample-ranks").withColumn("rank", F.when(F.col("rank") <= take, F.col("rank")))
     return drawn.unionByName(scored.filter(F.col("n_words") < least_words).withColumn("rank", F.lit(None).cast("long"))).drop("n_words")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, decontam, importance, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
+from sheaf.llm import chat_format, collocations, decontam, importance, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
@@ -118,6 +123,25 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+sizes AS (SELECT lang, sum(len(ws)) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda k: list_transform(range(1, greatest(len(ws) - k + 2, 1)), lambda i: ws[i : i + k - 1])))) AS g FROM words),
+f AS (SELECT lang, g, count(*) AS a FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+parted AS (SELECT lang, g, a, k, g[1:k] AS first, g[k + 1:] AS rest FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM f)),
+cuts AS (
+  SELECT p.lang, p.g, p.a, k, x.a AS l, y.a AS r, CAST((2000000::HUGEINT * p.a) // (x.a + y.a) AS BIGINT) AS score
+  FROM parted p JOIN f AS x ON x.lang = p.lang AND x.g = p.first JOIN f AS y ON y.lang = p.lang AND y.g = p.rest),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ones AS (
+  SELECT lang, a, unnest(flatten(list_transform([2, 3], lambda k: list_transform(range(1, greatest(len(g) - k + 2, 1)), lambda i: g[i : i + k - 1])))) AS g, len(g) AS size FROM f WHERE len(g) > 2),
+most AS (SELECT lang, g, max(a) AS most FROM inner_ones WHERE len(g) < size GROUP BY lang, g),
+kept AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.g = b.g WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000""",
     "op13_importance_resampling": r"""
 WITH tab AS (
   SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
