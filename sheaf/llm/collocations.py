@@ -11,7 +11,7 @@ others through, never drops one.
 
 Memory: ``DICTIONARY`` words are broadcast at most; where more are frequent, ids
 come by a join instead (same result). Tasks hold ``KEYS`` keys, ``WORDS``
-counted words or a part of ``PART`` bytes of text; the bitmap has ``BITS`` bits.
+counted words or a part of ``PART`` bytes of text; the bitmap has a fixed number of bits.
 
 Defined cases: null texts are empty, a null language is ``und``, repeated rows
 count as often as they come, empty tables give no phrases, ids and other
@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheaf.llm.bitmaps import bitmap, is_set
 from sheaf.llm.common import discard, materialize, numbered, slices, small_batches
 
 MAX_WORDS = 4
@@ -37,7 +38,6 @@ DICTIONARY = 1 << 20
 KEYS = 1 << 21
 WORDS = 1 << 19
 PART = 1 << 20
-BITS = 1 << 27
 SALTS = 64
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -146,33 +146,6 @@ def encoded_by_join(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     return found.groupBy("part").applyInArrow(gather, "ids binary, before int")
 
 
-def _mixed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    """Places of keys in a bitmap."""
-    x = hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    x ^= x >> np.uint64(31)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(32)) % np.uint64(BITS)
-
-
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """BITS bits, those at the places of the keys set; a row for each 64 bits reaches the driver at most."""
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = _mixed(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["at", "bits"])
-
-    out = np.zeros(BITS // 64, np.uint64)
-    found = keys.select("hi", "lo").mapInArrow(place, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def _is_set(bits: np.ndarray, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    at = _mixed(hi, lo)
-    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def _keys(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the n ids from every place."""
     m = max(len(ids) - n + 1, 0)
@@ -213,7 +186,7 @@ def gram_counts(ids: DataFrame, n: int, least: int, shorter: np.ndarray | None)
                 fits[: max(before - n + 1, 0)] = False
                 hi, lo = _keys(own, n)
                 if may is not None:
-                    maybe = _is_set(may.value, *_keys(own, n - 1))
+                    maybe = is_set(may.value, *_keys(own, n - 1))
                     fits &= maybe[:m] & maybe[1 : m + 1]
                 at = np.flatnonzero(fits)
                 held.append((hi[at], lo[at]))

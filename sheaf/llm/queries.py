@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import chat_format, collocations, decontam, importance, jaccard_join, knn_join, langid, lm_score, packing, quality, secrets, toxicity
+from sheaf.llm import chat_format, collocations, decontam, importance, jaccard_join, knn_join, langid, lm_score, packing, quality, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
     "op11_collocations": op11_collocations,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
@@ -142,6 +147,22 @@ most AS (SELECT lang, g, max(a) AS most FROM inner_ones WHERE len(g) < size GROU
 kept AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.g = b.g WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
 FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000""",
+    "op12_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 200)) AS h FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 99)) AS i FROM d)),
+seen AS (SELECT h, min({'d': doc_id, 'i': i}) AS first FROM w GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT w.doc_id, w.i FROM w JOIN seen USING (h) WHERE seen.first.d <> w.doc_id OR seen.first.i <> w.i),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+      SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM hit)) GROUP BY doc_id, run),
+keep AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL SELECT doc_id, max(b), NULL FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, CAST(2 * a + 1 AS BIGINT), CAST(2 * (coalesce(b, length(x)) - a) AS BIGINT)), '' ORDER BY a) AS x FROM keep JOIN d USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS n, count(*) AS spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, length(d.x) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""",
     "op13_importance_resampling": r"""
 WITH tab AS (
   SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
