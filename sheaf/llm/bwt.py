@@ -1,23 +1,21 @@
 """Burrows-Wheeler transforms of string collections, and their merge by refining an interleave.
 
 A collection's symbols are its bytes plus 1 (UTF-8 has none above 0xF4), 0 ends
-every string; ends order by their strings. A shard is sorted on its own. Two or
-more shards are merged without sorting their suffixes again: the interleave says
-which shard each place of the merged order takes its next suffix from. At first
-it is all of shard 0, then all of shard 1 and so on; dealing it out by the
-symbols before the suffixes, in order, makes it right for one more symbol each
-time. Where a boundary between neighbours first shows at step h, their common
-prefix is h - 1 symbols long; places without a boundary after ``depth`` steps
-are a repeated interval.
+every string; no two ends are alike. A shard is sorted on its own. Two or more
+shards are merged without sorting their suffixes again: the interleave is the
+merged order of the shards' rows as far as it is known. At first it is all of
+shard 0, then all of shard 1 and so on, one block; dealing it out by the symbols
+before the suffixes, in order, and going on to the suffixes with these symbols
+makes it right for one more symbol each time. A suffix alone in its block is
+decided: what it shares with its neighbours is known, and no longer suffix that
+ends in it can be shared, so that it leaves the interleave. Blocks that are left
+after ``depth`` steps are the repeated intervals.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Shards of one merge at most: their numbers are bytes.
-MAX_SHARDS = 255
-
 
 def symbols(strings: list[bytes]) -> np.ndarray:
     """The collection as symbols, each string followed by its end."""
@@ -49,35 +47,39 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """A sorted collection: its suffixes' places, and the symbol before each."""
+    """A sorted collection: its suffixes' places, the symbol before each, and the row of the suffix that begins there."""
 
     def __init__(self, strings: list[bytes]):
         text = symbols(strings)
         self.places = suffix_order(text)
         self.before = text[self.places - 1]  # before the first symbol comes the last string's end
-        self.ends = len(strings)
+        row = np.empty(len(text), np.int32)
+        row[self.places] = np.arange(len(text), dtype=np.int32)
+        self.back = row[self.places - 1]
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, place, lcp) in merged order: lcp[j] is the common prefix with the suffix before, -1 if it is ``depth`` or more."""
-    ids = np.arange(len(shards), dtype=np.uint8)
+    """(row, block, shared): rows of the repeated intervals in order, their interval, and for every row how many symbols it shares with another at most.
+
+    Rows count through the shards; no row counts as sharing more than ``depth``.
+    """
+    sizes = np.array([len(s.places) for s in shards])
+    firsts = np.cumsum(sizes) - sizes
     before = np.concatenate([s.before for s in shards])
-    ends = np.repeat(ids, [s.ends for s in shards])
-    m, n = len(ends), len(before)
-    take = np.repeat(ids, [len(s.before) for s in shards])
-    block, lcp = np.zeros(n, np.int32), np.full(n, -1, np.int16)
-    lcp[0] = 0
-    symbol = np.empty(n, np.uint8)
+    back = np.concatenate([s.back + np.int32(at) for s, at in zip(shards, firsts.tolist(), strict=True)])
+    rows = np.arange(len(before), dtype=np.int32)
+    block, shared = np.zeros(len(rows), np.int32), np.zeros(len(rows), np.int16)
     for h in range(1, depth + 1):
-        symbol[np.argsort(take, kind="stable")] = before
+        symbol = before[rows]
         order = np.argsort(symbol, kind="stable")
-        dealt, inside = symbol[order], block[order]
-        take = take[order]
-        take[:m] = ends
-        new = np.ones(n, bool)
-        new[m + 1 :] = (dealt[m + 1 :] != dealt[m:-1]) | (inside[m + 1 :] != inside[m:-1])
-        lcp[new & (lcp < 0)] = h - 1
-        block = np.cumsum(new, dtype=np.int32)
-    place = np.empty(n, np.int64)
-    place[np.argsort(take, kind="stable")] = np.concatenate([s.places for s in shards])
-    return take, place, lcp
+        order = order[np.count_nonzero(symbol == 0) :]  # ends are alone
+        symbol, block, rows = symbol[order], block[order], back[rows[order]]
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
+        alone = new[:-1] & new[1:]
+        block = np.cumsum(new[:-1], dtype=np.int32)[~alone]
+        rows = rows[~alone]
+        shared[rows] += 1  # the rows that share h symbols
+        if not len(rows):
+            break
+    return rows, block, shared

@@ -12,8 +12,8 @@ are bytes of the input, never across documents, and overlaps count.
    into shards, each shard's Burrows-Wheeler transform is made, and the
    transforms are merged by refining their interleave (``bwt.py``). Repeated
    intervals of WINDOW bytes keep their earliest suffix.
-4. An anchor with more than ``HOT`` classes (the edges of a passage that very
-   many documents share) would fill a task: its stretches are cut into their
+4. An anchor with more than ``HOT`` classes (5 MB; the edges of a passage that
+   very many documents share) would fill a task: its stretches are cut into their
    windows, and equal windows meet by their 128-bit hash, counted in two steps.
 
 Results are exact up to collisions of 128-bit hashes. Memory: parts of ``PART``
@@ -33,7 +33,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +49,7 @@ PART = 1 << 19
 PLACE_BITS = np.uint64(20)
 SHARD = 1 << 17
 BUCKET = 1 << 20
-HOT = 512
+HOT = 1 << 15
 
 _BASE = [pow(0x100000001B3, 1 << k, 1 << 64) for k in range(GRAM.bit_length())]
 
@@ -160,33 +159,27 @@ def later(members: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
 
 def _interleaved(table: pa.Table) -> pa.Table:
     """The windows of different stretches of one bucket that also start earlier, as runs (d, v, start, windows)."""
-    counts = table.group_by("anchor").aggregate([("anchor", "count")])
-    shared = counts.filter(pc.greater(counts.column("anchor_count"), 1)).column("anchor")
-    table = table.filter(pc.is_in(table.column("anchor"), shared.combine_chunks())).sort_by("anchor")
+    table = table.sort_by("anchor")
     strings = table.column("bytes").to_pylist()
     d, v, start = (table.column(k).to_numpy() for k in ("d", "v", "start"))
     blank = pa.table({k: pa.array([], pa.int64()) for k in ("d", "v", "start", "windows")})
     if len(strings) < 2:
         return blank
-    size = max(SHARD, sum(map(len, strings)) // (bwt.MAX_SHARDS - 1))
     shards, firsts, held, total = [], [], [], 0
     for i, own in enumerate([*strings, None]):
-        if own is None or total >= size:
+        if own is None or total >= SHARD:
             shards.append(bwt.Shard(held))
             firsts.append(i - len(held))
             held, total = [], 0
         if own is not None:
             held.append(own)
             total += len(own)
-    shard, place, lcp = bwt.merge(shards, WINDOW)
-    # the string and the offset of each suffix that shares WINDOW bytes with a neighbour
-    alike = lcp < 0
-    alike[:-1] |= alike[1:]
-    at = np.flatnonzero(alike)
-    group = np.cumsum(lcp >= 0)[at]
+    rows, group, _ = bwt.merge(shards, WINDOW)
+    # the string and the offset of each suffix that shares WINDOW bytes
     lengths = np.array([len(s) + 1 for s in strings])
     begins = np.cumsum(lengths) - lengths
-    position = begins[np.array(firsts)][shard[at]] + place[at]
+    places = np.concatenate([s.places + begins[i] for s, i in zip(shards, firsts, strict=True)])
+    position = places[rows]
     string = np.searchsorted(begins, position, side="right") - 1
     offset = position - begins[string]
     order = np.lexsort((start[string] + offset, v[string], d[string], group))
@@ -221,24 +214,38 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeated(docs: DataFrame) -> DataFrame:
     """(d, v, start, windows): runs of windows that also start earlier, as a table."""
     once = anchors(docs)
-    members = materialize(candidates(docs, bitmap(once)), "repeat-stretches")
+    members = materialize(candidates(docs, bitmap(once)), "repeat-stretches", "zstd")
     discard(once)
-    first = F.min(_place()).alias("first")
     keys = ["anchor", "class"]
-    classes = materialize(members.groupBy(*keys).agg(first, F.count("*").alias("n"), F.first("windows").alias("windows"), F.first("bytes").alias("bytes")), "repeat-classes")
-    hot = materialize(classes.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor"), "repeat-hot")
-    out = later(members, classes, keys)
-    buckets = classes.count() * (WINDOW + GRAMS) // BUCKET + 1
-    rest = classes.join(hot, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    runs = rest.select("bucket", "anchor", "first.*", "bytes").groupBy("bucket").applyInArrow(_interleaved, "d long, v long, start long, windows long")
-    windows = classes.join(hot, "anchor", "left_semi").select("first.*", "bytes", "windows")
-    single = windows.mapInArrow(_single_windows, "class binary, d long, v long, start long, windows int")
-    shared = later(single, single.groupBy("class").agg(first, F.count("*").alias("n")), ["class"])
-    out = materialize(out.withColumn("windows", F.col("windows").cast("long")).unionByName(runs).unionByName(shared.withColumn("windows", F.col("windows").cast("long"))), "repeats")
-    discard(members, classes, hot)
+    classes = materialize(members.groupBy(*keys).agg(F.min(_place()).alias("first"), F.count("*").alias("n")), "repeat-classes")
+    shared = classes.groupBy("anchor").agg(F.count("*").alias("classes")).filter("classes > 1")
+    meeting = materialize(classes.join(shared, "anchor").select("anchor", "first.*", "classes"), "repeat-meeting")
+    several = materialize(first_of_classes(members, meeting), "repeat-first", "zstd")
+    buckets = meeting.count() * (WINDOW + GRAMS) // BUCKET + 1
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")
+    runs = several.filter(F.col("classes") <= HOT).select(bucket, "anchor", "d", "v", "start", "bytes").groupBy("bucket").applyInArrow(_interleaved, "d long, v long, start long, windows long")
+    single = several.filter(F.col("classes") > HOT).select("d", "v", "start", "bytes", "windows").mapInArrow(_single_windows, "class binary, d long, v long, start long, windows int")
+    alike = later(single, single.groupBy("class").agg(F.min(_place()).alias("first"), F.count("*").alias("n")), ["class"])
+    whole = later(members, classes, keys).unionByName(alike).withColumn("windows", F.col("windows").cast("long"))
+    out = materialize(whole.unionByName(runs), "repeats")
+    discard(members, classes, meeting, several)
     return out
 
 
+def first_of_classes(members: DataFrame, meeting: DataFrame) -> DataFrame:
+    """The members in the table ``meeting`` (first of a class, of an anchor with several) with their bytes; a bitmap keeps the others' bytes in place."""
+    at = F.xxhash64("d", "v", "start").alias("hi")
+    bits = members.sparkSession.sparkContext.broadcast(bitmap(meeting.select(at, F.col("anchor").alias("lo"))))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(is_set(bits.value, batch.column(0).to_numpy(), batch.column(1).to_numpy())))
+
+    own = members.select(at, "anchor", "d", "v", "start", "windows", "bytes").mapInArrow(kept, "hi long, anchor long, d long, v long, start long, windows int, bytes binary")
+    key = ["anchor", "d", "v", "start"]  # rows that repeat id and text are one document
+    return own.drop("hi").join(meeting, key).dropDuplicates(key)
+
+
 def _digest(parts: list[bytes]) -> str:
     h = hashlib.sha256()
     for p in parts:

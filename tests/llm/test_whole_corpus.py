@@ -105,7 +105,7 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [512, 2])
+@pytest.mark.parametrize("hot", [1 << 15, 2])
 def test_repeats(spark, rows, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     docs = frame(spark, rows)
@@ -126,13 +126,19 @@ def test_merged_transforms_are_those_of_all_strings():
     for depth in (1, 2, 3, 7):
         for _ in range(30):
             shards = [[bytes(rng.choice(b"ab\x00") for _ in range(rng.randrange(9))) for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 4))]
-            suffixes = [[s[k:] for s in own for k in range(len(s) + 1)] for own in shards]
-            shard, place, lcp = bwt.merge([bwt.Shard(own) for own in shards], depth)
-            order = [suffixes[a][b] for a, b in zip(shard, place, strict=True)]
-            assert [s[:depth] for s in order] == sorted(s[:depth] for own in suffixes for s in own)
-            for j in range(1, len(order)):
-                common = next((i for i, (x, y) in enumerate(zip(order[j - 1], order[j], strict=False)) if x != y), min(len(order[j - 1]), len(order[j])))
-                assert lcp[j] == (common if common < depth else -1)
+            suffixes = [s[k:] for own in shards for s in own for k in range(len(s) + 1)]
+            made = [bwt.Shard(own) for own in shards]
+            rows, block, shared = bwt.merge(made, depth)
+            firsts = np.cumsum([0, *(len(s.places) for s in made)])
+            place = np.concatenate([s.places + at for s, at in zip(made, firsts, strict=False)])
+            order = [suffixes[place[r]][:depth] for r in rows]
+            counts = Counter(s[:depth] for s in suffixes if len(s) >= depth)
+            assert order == sorted(s for s, n in counts.items() for _ in range(n) if n > 1)
+            assert all((order[j] == order[j - 1]) == (block[j] == block[j - 1]) for j in range(1, len(order)))
+            for r, n in enumerate(shared.tolist()):
+                own = suffixes[place[r]]
+                most = max(next((k for k, (x, y) in enumerate(zip(own, other, strict=False)) if x != y), min(len(own), len(other))) for q, other in enumerate(suffixes) if q != place[r]) if len(suffixes) > 1 else 0
+                assert n == min(most, depth)
 
 
 def brute_resampled(rows, target, buckets, most, least, percent):
