@@ -42,7 +42,7 @@ from sheaf.llm.bitmaps import bitmap, is_set
 from sheaf.llm.common import discard, materialize, slices, small_batches
 
 WINDOW = 100
-GRAM = 32  # a power of two
+GRAM = 48
 GRAMS = WINDOW - GRAM + 1
 #: Window starts handled at a time; with the longest rest, places fit PLACE_BITS.
 PART = 1 << 19
@@ -51,18 +51,25 @@ SHARD = 1 << 17
 BUCKET = 1 << 20
 HOT = 1 << 15
 
-_BASE = [pow(0x100000001B3, 1 << k, 1 << 64) for k in range(GRAM.bit_length())]
+_BASE = 0x100000001B3
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from every place."""
-    h = data.astype(np.uint64) + np.uint64(1)
-    for k in range(GRAM.bit_length() - 1):
-        h = h[: -(1 << k)] * np.uint64(_BASE[k]) + h[1 << k :]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    return h
+    """A hash of the GRAM bytes from every place: polynomials of powers of two bytes, put together."""
+    h, out, done, size = data.astype(np.uint64) + np.uint64(1), None, 0, 1
+    while size <= GRAM:
+        if GRAM & size:  # the next ``size`` bytes after the ``done`` ones
+            n = max(len(data) - GRAM + 1, 0)
+            own = h[done : done + n]
+            out = own if out is None else out * np.uint64(pow(_BASE, size, 1 << 64)) + own
+            done += size
+        if 2 * size <= GRAM:
+            h = h[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + h[size:]
+        size *= 2
+    out = out ^ out >> np.uint64(32)
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(29)
+    return out
 
 
 def stretches(data: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +175,7 @@ def _interleaved(table: pa.Table) -> pa.Table:
     shards, firsts, held, total = [], [], [], 0
     for i, own in enumerate([*strings, None]):
         if own is None or total >= SHARD:
-            shards.append(bwt.Shard(held))
+            shards.append(bwt.Shard(held, WINDOW))
             firsts.append(i - len(held))
             held, total = [], 0
         if own is not None:
