@@ -260,16 +260,19 @@ def _digest(parts: list[bytes]) -> str:
     return h.hexdigest()
 
 
-def spans_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal byte spans (start, end) that runs of windows (start, number) cover."""
-    out: list[list[int]] = []
-    for start, n in sorted(runs):
-        end = start + n + WINDOW - 1
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(end, out[-1][1])
-        else:
-            out.append([start, end])
-    return [(a, b) for a, b in out]
+def spans_of(row: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end): maximal byte spans that each row's runs of windows cover, in order."""
+    far = int((start + windows).max(initial=0)) + 2 * WINDOW  # rows side by side, too far apart to touch
+    at = row * far + start
+    order = np.argsort(at, kind="stable")
+    at, end = at[order], (at + windows + WINDOW - 1)[order]
+    reach = np.maximum.accumulate(end) if len(end) else end
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] > reach[:-1]
+    heads = np.flatnonzero(new)
+    last = np.append(heads[1:], len(at))[: len(heads)] - 1
+    own = row[order][heads]
+    return own, at[heads] - own * far, reach[last] - own * far
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -307,16 +310,17 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids, n_bytes = batch.column(0), batch.column(1)
-            removed, n_spans, shas = [], [], []
-            for sha, data, runs in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-                spans = spans_of([(r["start"], r["windows"]) for r in runs or []])
-                if spans:
-                    edges = [0, *(x for s in spans for x in s), len(data)]
-                    sha = _digest([data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-                removed.append(sum(b - a for a, b in spans))
-                n_spans.append(len(spans))
-                shas.append(sha)
-            yield pa.RecordBatch.from_arrays([ids, n_bytes, pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(shas, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            runs, data, shas = batch.column(4), batch.column(3), batch.column(2).to_pylist()
+            flat = runs.flatten()
+            counts = runs.value_lengths().fill_null(0).to_numpy()
+            row, start, end = spans_of(np.repeat(np.arange(batch.num_rows), counts), flat.field("start").to_numpy(), flat.field("windows").to_numpy())
+            edges = np.flatnonzero(np.diff(row, prepend=-1, append=-1))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                own = data[int(row[a])].as_py()
+                cuts = [0, *np.stack([start[a:b], end[a:b]], 1).ravel().tolist(), len(own)]
+                shas[row[a]] = _digest([own[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True)])
+            n_spans = np.bincount(row, minlength=batch.num_rows)
+            removed = np.bincount(row, end - start, batch.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed), pa.array(n_spans.astype(np.int64)), pa.array(shas, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return with_spans(docs).mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
