@@ -5,10 +5,11 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from sheaf.plans import shapes
+from sheaf.plans import recovery, shapes
 from sheaf.plans.catalogue import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
+assert recovery.cases is shapes.cases  # its queries are registered by the same function
 NAMES = [n for n, f in QUERIES.items() if f.__module__ == shapes.__name__]
 
 
