@@ -18,7 +18,7 @@ from sheaf.operators import content, lines, repair, rules
 from sheaf.plans.catalogue import query
 from sheaf.sources.tables import table
 
-SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "long": "BIGINT", "boolean": "BOOLEAN"}
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "long": "BIGINT", "boolean": "BOOLEAN", "double": "DOUBLE"}
 BLOCK = "kind string, level int, number string, title string, text string"
 NODE = "parent_pos int, node_type string, number string, title string"
 FINDING = "subject string, rule_id string, priority string, message string"
