@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.functions.naming import GREEK
+from sheaf.functions.naming import GREEK, GREEK_VARIANTS
 
 #: LaTeX commands that stand for one character, and banner texts by prefix.
 SYMBOLS = {"times": "×", "cdot": "·", "div": "÷", "pm": "±", "le": "≤", "leq": "≤", "ge": "≥", "geq": "≥", "ne": "≠", "neq": "≠", "approx": "≈", "infty": "∞", "sum": "∑", "prod": "∏", "int": "∫", "partial": "∂", "sqrt": "√", "degree": "°", "circ": "°", "to": "→", "rightarrow": "→", "in": "∈", "ldots": "…", "cdots": "…", "quad": " ", "qquad": " ", "percent": "%"}
@@ -49,6 +49,7 @@ def braced(text: str, at: int) -> tuple[str, int]:
 def readable_latex(latex: str) -> str:
     """Fractions, scripts, Greek letters and operators of a formula as Unicode text."""
     greek = {g: chr(c) for g, c in zip(GREEK, (c for c in range(0x3B1, 0x3CA) if c not in (0x3BF, 0x3C2)), strict=True)}  # neither omicron nor the final sigma
+    greek |= {variant: greek[name.lower()] for variant, name in GREEK_VARIANTS.items()}
     out, at, text = [], 0, latex.strip().strip("$").strip()
     while at < len(text):
         c = text[at]

@@ -164,35 +164,45 @@ def body_punctuation(texts: pd.Series) -> pd.Series:
     return texts.map(wide_punctuation, na_action="ignore")
 
 
+#: Parts of a clause number at most.
+PARTS = 4
+
+
+def _readings(digits: str, parts: int = PARTS) -> Iterator[tuple[int, ...]]:
+    """All ways to read a run of digits as a number of so many parts, short first parts first; no part has a leading zero."""
+    if not digits:
+        yield ()
+    elif parts:
+        for k in range(1, len(digits) + 1):
+            if k == 1 or digits[0] != "0":
+                yield from ((int(digits[:k]), *rest) for rest in _readings(digits[k:], parts - 1))
+
+
+def _continues(new: tuple[int, ...], last: tuple[int, ...]) -> bool:
+    """Whether a number is the first below the last one, the next beside it, or the next beside one it stands in."""
+    if len(new) == len(last) + 1:
+        return new[:-1] == last and new[-1] == 1
+    return len(new) <= len(last) and new[:-1] == last[: len(new) - 1] and new[-1] == last[len(new) - 1] + 1
+
+
 def restored_numbers(blocks: DataFrame) -> DataFrame:
-    """Headings whose number lost its dots, as 421 for 4.2.1, get the first split that continues the numbering.
+    """Headings whose number lost some or all of its dots, as 421 or 42.1 for 4.2.1, get the first reading that continues the numbering.
 
-    What continues depends on all headings before, so the headings of a
+    A number that continues as it stands is right. Readings have four parts at
+    most. What continues depends on all headings before, so the headings of a
     document, and they alone, are walked in order.
     """
 
-    def splits(digits: str) -> Iterator[tuple[int, ...]]:
-        for k in range(1, len(digits)):
-            for rest in [(int(digits[k:]),), *([(int(digits[k : k + j]), int(digits[k + j :])) for j in range(1, len(digits) - k)])]:
-                if digits[k] != "0":
-                    yield int(digits[:k]), *rest
-
-    def continues(new: tuple[int, ...], last: tuple[int, ...]) -> bool:
-        if len(new) == len(last) + 1:
-            return new[:-1] == last and new[-1] == 1
-        return len(new) <= len(last) and new[:-1] == last[: len(new) - 1] and new[-1] == last[len(new) - 1] + 1
-
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         last: tuple[int, ...] = ()
         pdf = pdf.sort_values("pos")
         fixed, codes = [], []
         for number in pdf["number"]:
-            own = tuple(int(p) for p in number.split("."))
-            code = None
-            if len(own) == 1 and len(number) > 1 and not continues(own, last):
-                found = [s for s in splits(number) if continues(s, last)]
-                if found:
-                    own, code = found[0], "CSM-OCR-002"
+            own, code = tuple(int(p) for p in number.split(".")), None
+            if last and not _continues(own, last):
+                found = next((r for r in _readings(number.replace(".", "")) if _continues(r, last)), own)
+                if found != own:
+                    own, code = found, "CSM-OCR-002"
             fixed.append(".".join(map(str, own)))
             codes.append(code)
             last = own

@@ -56,7 +56,7 @@ def parsed(files: DataFrame, text: str = "text") -> DataFrame:
 
 def read_packs(spark: SparkSession, path: str) -> DataFrame:
     """The rules of all packs below a folder."""
-    return parsed(spark.read.option("wholetext", "true").option("pathGlobFilter", "*.yaml").option("recursiveFileLookup", "true").text(path).withColumnRenamed("value", "text"))
+    return parsed(spark.read.text(path, wholetext=True, pathGlobFilter="*.yaml", recursiveFileLookup=True).withColumnRenamed("value", "text"))
 
 
 def layered(rules: DataFrame, precedence: list[str]) -> DataFrame:

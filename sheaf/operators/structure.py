@@ -97,3 +97,79 @@ def images_into_tables(blocks: DataFrame) -> DataFrame:
     text = F.concat(kept, F.lit("| "), F.array_join(filled, " | "), F.lit(" |"))
     out = held.withColumn("text", F.when(F.col("_gains") & (at > 0), text).otherwise(F.col("text")))
     return out.withColumn("issue", F.when(F.col("_gains"), "CSM-TABLE-002")).filter(~F.col("_moved")).drop("_moved", "_gains", "_image")
+
+
+def cell_images(cells: DataFrame) -> DataFrame:
+    """Text that went to the wrong one of two image cells goes back; cell and issue of every cell.
+
+    cells: doc_id, pos (the table), number (its caption's, may be null),
+    header_rows, row, col, cell. A cell with image and text, the only text of
+    its column, gives the text to the cell before if that holds images alone;
+    a run of such cells moves together. Two data rows are needed. Where a table
+    changed, image cells of all tables with its number, be they continuations,
+    get their images first. Tables that nothing moved in stay as extracted.
+    """
+    image = r"!\[[^\]]*\]\([^)]+\)"
+    images = F.regexp_extract_all("cell", F.lit(f"({image})"), F.lit(1))
+    plain = F.trim(F.regexp_replace("cell", image, ""))
+    data = F.col("row") >= F.col("header_rows")
+    held = cells.withColumns({"_images": F.when(data, images), "_plain": F.when(data, plain)})
+    column, table, row = W.partitionBy("doc_id", "pos", "col"), W.partitionBy("doc_id", "pos"), W.partitionBy("doc_id", "pos", "row").orderBy("col")
+    texts = F.sum(F.when(F.col("_plain") != "", 1).otherwise(0)).over(column)
+    rows = F.size(F.collect_set(F.when(data, F.col("row"))).over(table))
+    has_image = F.size("_images") > 0
+    odd = has_image & (F.col("_plain") != "") & (texts == 1) & (rows >= 2) & (F.col("col") > 0)
+    held = held.withColumns({"_odd": F.coalesce(odd, F.lit(False)), "_pure": F.coalesce(has_image & (F.col("_plain") == ""), F.lit(False))})
+    base = F.last(F.when(~F.col("_odd"), F.col("_pure")), True).over(row.rowsBetween(W.unboundedPreceding, -1))
+    held = held.withColumn("_gives", F.col("_odd") & F.coalesce(base, F.lit(False)))
+    gets = F.when(F.lead("_gives").over(row), F.lead("_plain").over(row))
+    held = held.withColumn("_gets", gets)
+    rest = F.when(F.col("_gives"), F.array_join("_images", " ")).otherwise(F.regexp_replace("cell", r"(?U)\s+$", ""))
+    moved = F.when(F.col("_gets").isNotNull(), F.concat_ws(" ", F.nullif(rest, F.lit("")), "_gets")).when(F.col("_gives"), rest).otherwise(F.col("cell"))
+    held = held.withColumns({"_moved": moved, "_hit": F.col("_gives") | F.col("_gets").isNotNull()})
+    same = W.partitionBy("doc_id", "number")
+    changed = F.col("number").isNotNull() & F.max("_hit").over(same)
+    parts = F.filter(F.transform(F.split("_moved", image), lambda t: F.trim(t)), lambda t: t != "")
+    first = F.concat_ws(" ", F.array_join(F.regexp_extract_all("_moved", F.lit(f"({image})"), F.lit(1)), " "), F.array_join(parts, " "))
+    late = changed & data & F.col("_moved").rlike(image) & (F.trim(F.split("_moved", image)[0]) != "")
+    cell = F.when(late, first).otherwise(F.col("_moved"))
+    out = held.withColumn("_new", cell)
+    return out.select("doc_id", "pos", "row", "col", F.col("_new").alias("cell"), F.when(~F.col("_new").eqNullSafe(F.col("cell")), "CSM-TABLE-003").alias("issue"))
+
+
+def realigned_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
+    """Merge directives whose anchor went stale, moved to the cell that holds their text.
+
+    cells: doc_id, table_id, header_rows, row, col, text. merges: doc_id,
+    table_id, place (their order), row, col, rowspan, colspan, all from 0. Out:
+    merges with row and rowspan to use and action. A vertical merge on a blank
+    cell with text further down goes up to the nearest text of its column
+    outside the header and ends before the next; the first directive that gets
+    there has it (realigned), others stay as they are (overlap). Cells outside
+    the table give out-of-range, a horizontal merge on a blank cell
+    empty-anchor; both stay. A blank merge without any text is left alone.
+    """
+    key = ["doc_id", "table_id"]
+    own = cells.withColumn("_full", F.trim(F.coalesce("text", F.lit(""))) != "")
+    sizes = cells.groupBy(*key).agg((F.max("row") + 1).alias("_rows"), F.max("header_rows").alias("_header"))
+    anchor = own.select(*key, "row", "col", F.col("_full").alias("_anchored"))
+    held = merges.join(anchor, [*key, "row", "col"], "left").join(sizes, key, "left")
+    labels = own.filter("_full").select(*key, "col", F.col("row").alias("_label"))
+    stale = held.filter((F.col("rowspan") > 1) & ~F.col("_anchored")).select(*key, "place", "row", "col", "rowspan", "_header")
+    met = stale.join(labels, [*key, "col"])
+    found = met.groupBy(*key, "place", "col").agg(
+        F.max(F.when((F.col("_label") <= F.col("row")) & (F.col("_label") >= F.col("_header")), F.col("_label"))).alias("_start"),
+        F.min(F.when(F.col("_label") > F.col("row"), F.col("_label"))).alias("_next"),
+        F.bool_or((F.col("_label") >= F.col("row")) & (F.col("_label") < F.col("row") + F.col("rowspan"))).alias("_inside"),
+    ).filter("_inside AND _start IS NOT NULL")
+    found = found.withColumn("_n", F.row_number().over(W.partitionBy(*key, "col", "_start").orderBy("place"))).drop("col")
+    out = held.join(found, [*key, "place"], "left")
+    action = (
+        F.when(F.col("_anchored").isNull(), "out-of-range")
+        .when(F.col("_n") == 1, "realigned")
+        .when(F.col("_n") > 1, "overlap")
+        .when((F.col("rowspan") <= 1) & (F.col("colspan") > 1) & ~F.col("_anchored"), "empty-anchor")
+    )
+    moves = F.col("_n") == 1
+    end = F.coalesce("_next", "_rows")
+    return out.select(*key, "place", F.when(moves, F.col("_start")).otherwise(F.col("row")).alias("row"), "col", F.when(moves, end - F.col("_start")).otherwise(F.col("rowspan")).alias("rowspan"), "colspan", action.alias("action"))

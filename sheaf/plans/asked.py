@@ -257,3 +257,56 @@ cases("glued_parts", "a string, b string, c string", "text string", [
     ([("甲", "", "乙")], [("甲乙",)]),
     ([("a", "", "b")], [("a b",)]),
 ], lambda d: d.withColumn("text", layout.glued(F.array("a", "b", "c"))))
+
+# ---- tables
+
+IMAGE = "![](p.png)"
+
+cases("cell_image_layout", "p int, number string, row int, col int, cell string", "p int, row int, col int, cell string, issue string", [
+    # the text of column 1 goes to the image before it; the continuation's cell turns round
+    ([(1, "1", 0, 0, "a"), (1, "1", 0, 1, "b"), (1, "1", 1, 0, IMAGE), (1, "1", 1, 1, "说{k} " + IMAGE), (1, "1", 2, 0, IMAGE), (1, "1", 2, 1, IMAGE), (2, "1", 0, 0, "x " + IMAGE), (2, "1", 1, 0, "文 " + IMAGE + " 字")],
+     [(1, 0, 0, "a", None), (1, 0, 1, "b", None), (1, 1, 0, IMAGE + " 说{k}", "CSM-TABLE-003"), (1, 1, 1, IMAGE, "CSM-TABLE-003"), (1, 2, 0, IMAGE, None), (1, 2, 1, IMAGE, None), (2, 0, 0, "x " + IMAGE, None), (2, 1, 0, IMAGE + " 文 字", "CSM-TABLE-003")]),
+    # two texts in the column; a cell before that holds text; one data row
+    ([(1, None, 0, 0, "h"), (1, None, 1, 0, IMAGE), (1, None, 1, 1, "甲" + IMAGE), (1, None, 2, 0, IMAGE), (1, None, 2, 1, "乙{k}" + IMAGE), (2, "2", 0, 0, "h"), (2, "2", 1, 0, IMAGE), (2, "2", 1, 1, "丙" + IMAGE)],
+     [(1, 0, 0, "h", None), (1, 1, 0, IMAGE, None), (1, 1, 1, "甲" + IMAGE, None), (1, 2, 0, IMAGE, None), (1, 2, 1, "乙{k}" + IMAGE, None), (2, 0, 0, "h", None), (2, 1, 0, IMAGE, None), (2, 1, 1, "丙" + IMAGE, None)]),
+    ([(1, "1", 1, 0, None), (1, "1", 2, 0, "")], [(1, 1, 0, None, None), (1, 2, 0, "", None)]),
+], lambda d: structure.cell_images(d.select("doc_id", F.col("p").alias("pos"), "number", F.lit(1).alias("header_rows"), "row", "col", "cell")).withColumnRenamed("pos", "p"))
+
+
+def _merges(rows: DataFrame) -> DataFrame:
+    """Cells and merge directives of each document apart."""
+    own = rows.filter("side = 'cell'").select("doc_id", F.lit(1).alias("table_id"), F.lit(1).alias("header_rows"), "row", "col", "text")
+    asked = rows.filter("side = 'merge'").select("doc_id", F.lit(1).alias("table_id"), F.col("pos").alias("place"), "row", "col", "rowspan", "colspan")
+    return structure.realigned_merges(own, asked)
+
+
+def cell(row: int, col: int, text: str | None) -> tuple:
+    return "cell", row, col, None, None, text
+
+
+def merge(row: int, col: int, rowspan: int = 1, colspan: int = 1) -> tuple:
+    return "merge", row, col, rowspan, colspan, None
+
+
+cases("realigned_table_merges", "side string, row int, col int, rowspan int, colspan int, text string", "row int, col int, rowspan int, colspan int, action string", [
+    # the label stands above the anchor, the band ends before the next label
+    ([cell(0, 0, "h"), cell(1, 0, "甲{k}"), cell(2, 0, ""), cell(3, 0, None), cell(4, 0, "乙"), cell(5, 0, " "), merge(2, 0, 3), merge(3, 0, 2), merge(4, 0, 2), merge(5, 0, 2), merge(9, 0, 2), merge(2, 0, 1, 2)],
+     [(1, 0, 3, 1, "realigned"), (3, 0, 2, 1, "overlap"), (4, 0, 2, 1, None), (5, 0, 2, 1, None), (9, 0, 2, 1, "out-of-range"), (2, 0, 1, 2, "empty-anchor")]),
+    # only the header has text above; no text in the band
+    ([cell(0, 0, "h{k}"), cell(1, 0, ""), cell(2, 0, "甲"), cell(3, 0, ""), cell(4, 0, ""), merge(1, 0, 2), merge(3, 0, 2)],
+     [(1, 0, 2, 1, None), (3, 0, 2, 1, None)]),
+], _merges)
+
+# ---- numbers and the catalogue
+
+cases("restored_partial_numbers", BLOCK, "pos int, number string, issue string", [
+    ([heading(2, "7", "a"), heading(2, "71", "b{k}"), heading(2, "7.11", "c"), heading(2, "7111", "d"), heading(2, "7112", "e"), heading(2, "72", "f")],
+     [(0, "7", None), (1, "7.1", "CSM-OCR-002"), (2, "7.1.1", "CSM-OCR-002"), (3, "7.1.1.1", "CSM-OCR-002"), (4, "7.1.1.2", "CSM-OCR-002"), (5, "7.2", "CSM-OCR-002")]),
+    ([heading(2, "9", "a"), heading(2, "10", "b"), heading(2, "101", "c"), heading(2, "10.10", "d"), heading(2, None, "e")],
+     [(0, "9", None), (1, "10", None), (2, "10.1", "CSM-OCR-002"), (3, "10.10", None), (4, None, None)]),
+], repair.restored_numbers)
+
+cases("catalogue_counts", "kind string, node_type string", "n_section long, n_clause long, n_annex long, n_paragraph long, n_table long, n_note long", [
+    ([("heading", "section"), ("heading", "clause"), ("heading", "clause"), ("table", None), ("paragraph", None), ("odd{k}", "odd")], [(1, 2, 0, 1, 1, 0)]),
+    ([(None, None)], [(0, 0, 0, 0, 0, 0)]),
+], lambda d: catalog.detail(d, d))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.operators.joins import in_order
@@ -67,9 +67,60 @@ def sorted_json(rows: DataFrame, name: str = "json") -> DataFrame:
     return rows.select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias(name))
 
 
+#: Folders of a stored table: keys are dealt to them by their hash, so that their number doesn't grow with the documents.
+BUCKETS = 64
+_BUCKET = "bucket"
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored table."""
+    return spark.read.parquet(path).drop(_BUCKET)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _rewritten(path: str, keys: DataFrame, key: str, new: DataFrame | None) -> None:
+    """The buckets of some keys, written again without their rows and with new ones; other buckets stay as they are."""
+    spark = keys.sparkSession
+    touched = keys.select(key).distinct().withColumn(_BUCKET, _bucket(key))
+    rows, emptied = None if new is None else new.withColumn(_BUCKET, _bucket(key)), set()
+    if _exists(spark, path):
+        buckets = [r[0] for r in touched.select(_BUCKET).distinct().collect()]  # BUCKETS at most
+        kept = spark.read.parquet(path).filter(F.col(_BUCKET).isin(buckets)).join(touched.select(key), key, "left_anti")
+        rows = kept if rows is None else rows.unionByName(kept, allowMissingColumns=True)
+        if new is None:  # what is left without rows is not overwritten
+            emptied = set(buckets) - {r[0] for r in kept.select(_BUCKET).distinct().collect()}
+    if rows is not None:
+        rows.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(path)
+    for bucket in emptied:
+        _delete(spark, f"{path}/{_BUCKET}={bucket}")
+
+
 def upsert(rows: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Replace the partitions of the keys in rows, leaving others as they are."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    """Replace the stored rows of the keys in rows, leaving others as they are. Null keys are never replaced, only added."""
+    _rewritten(path, rows, key, rows)
+
+
+def remove(keys: DataFrame, path: str, key: str = "doc_id") -> None:
+    """Delete the stored rows of some keys; unknown keys and tables are no fault."""
+    _rewritten(path, keys, key, None)
+
+
+def clear(spark: SparkSession, path: str) -> None:
+    """Delete a stored table."""
+    _delete(spark, path)
 
 
 def volumes(files: DataFrame, left: str, right: str) -> DataFrame:
