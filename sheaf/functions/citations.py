@@ -44,16 +44,40 @@ def squeezed(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", "")
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches of a pattern as structs of start, text before, match and text after."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
+#: Characters beside a sentence that tests on a match may look at.
+MARGIN = 41
+
 
-    def at(i: Column) -> Column:
-        before = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), i), lambda k: F.when(k <= i - 1, F.concat(pieces[k - 1], hits[k - 1])).otherwise(pieces[k - 1])), ""), F.lit(""))
-        return F.struct(F.length(before).alias("start"), before.alias("before"), hits[i - 1].alias("hit"), F.substring(text, F.length(before) + F.length(hits[i - 1]) + 1, F.length(text)).alias("after"))
+def matches(text: Column, pattern: str) -> Column:
+    """All matches of a pattern as structs of start, before, hit and after.
 
-    return F.when(F.size(hits) > 0, F.transform(F.sequence(F.lit(1), F.size(hits)), at))
+    before and after are the match's sentence on either side and MARGIN
+    characters at least, not the whole text, so that a text with many matches
+    grows by its sentences alone.
+    """
+    sizes = lambda parts: F.transform(parts, lambda p: F.length(p))
+    total = lambda numbers, n: F.aggregate(F.slice(numbers, F.lit(1), n), F.lit(0), lambda a, b: a + b)
+    sentences = sizes(F.split(text, SENTENCE_END, -1))
+
+    def at(own: Column, ends: Column, i: Column) -> Column:
+        place = total(own["gaps"], i) + total(own["sizes"], i - 1)
+        return F.transform(F.array(F.struct(place.alias("start"), (place + own["sizes"][i - 1]).alias("stop"))), lambda p: around(own, ends, i, p["start"], p["stop"]))[0]
+
+    def around(own: Column, ends: Column, i: Column, start: Column, stop: Column) -> Column:
+        begin = F.coalesce(F.array_max(F.filter(ends, lambda e: e < start)) + 1, F.lit(0))
+        first = F.greatest(F.least(begin, start - MARGIN), F.lit(0))
+        last = F.coalesce(F.array_min(F.filter(ends, lambda e: e >= stop)), own["length"])
+        return F.struct(start.alias("start"), F.substring(text, first + 1, start - first).alias("before"), own["hits"][i - 1].alias("hit"), F.substring(text, stop + 1, last - stop + MARGIN).alias("after"))
+
+    def all_of(own: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.size(own["sentences"]) - 1), lambda k: total(own["sentences"], k) + k - 1)
+        ends = F.when(F.size(own["sentences"]) > 1, many).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.array(ends), lambda e: F.transform(F.sequence(F.lit(1), F.size(own["hits"])), lambda i: at(own, e, i)))[0]
+
+    # what several matches need is computed once: it is bound by an array of one element
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.transform(F.array(hits), lambda h: F.struct(h.alias("hits"), sizes(h).alias("sizes"), sizes(F.split(text, pattern, -1)).alias("gaps"), sentences.alias("sentences"), F.length(text).alias("length")))
+    return F.when(text.rlike(pattern), F.transform(parts, all_of)[0])
 
 
 def cited_part(after: Column) -> Column:

@@ -9,16 +9,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Numbers of a gap that are laid out at a time.
+AT_ONCE = 4096
+
+
+def counted(rows: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """rows with each number from first to last, where there are any; wide ranges are laid out in parts, never as one array."""
+    parts = rows.withColumns({"_first": first.cast("long"), "_last": last.cast("long")}).filter("_first <= _last")
+    parts = parts.withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(AT_ONCE).cast("long"))))
+    return parts.withColumn(name, F.explode(F.sequence("_from", F.least(F.col("_from") + AT_ONCE - 1, "_last")))).drop("_first", "_last", "_from")
+
+
 def numbering_gaps(rows: DataFrame, group: str, number: str, start: int | None = None) -> DataFrame:
     """group and the numbers missing between its first (or ``start``) and its largest one.
 
-    The gap before each number is found from the number before it, so nothing
-    but the missing numbers is ever generated.
+    The gap before each number is found from the number before it. Every
+    missing number is a row; wide gaps are laid out in parts.
     """
     own = rows.select(group, F.col(number).cast("long").alias("_n")).filter("_n IS NOT NULL").distinct()
     before = F.lag("_n", 1, None if start is None else start - 1).over(W.partitionBy(group).orderBy("_n"))
     gaps = own.withColumn("_before", before).filter("_n - _before > 1")
-    return gaps.select(group, F.explode(F.sequence(F.col("_before") + 1, F.col("_n") - 1)).alias("missing"))
+    return counted(gaps, F.col("_before") + 1, F.col("_n") - 1, "missing").select(group, "missing")
 
 
 def repeated(rows: DataFrame, *keys: str) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sheaf.operators.checks import counted
+
 FINDING = ["doc_id", "subject", "rule_id", "priority", "message"]
 #: Lead-ins that notes and examples may have, units and counters
 #: that a limit may carry.
@@ -66,7 +68,7 @@ def numbering(nodes: DataFrame) -> DataFrame:
     siblings = ["doc_id", "parent_pos", "_prefix"]
     distinct = own.select(*siblings, "_n").distinct()
     gaps = distinct.withColumn("_before", F.lag("_n").over(W.partitionBy(*siblings).orderBy("_n"))).filter("_n - _before > 1")
-    gaps = gaps.withColumn("_missing", F.explode(F.sequence(F.col("_before") + 1, F.col("_n") - 1)))
+    gaps = counted(gaps, F.col("_before") + 1, F.col("_n") - 1, "_missing")
     dotted = F.when(F.col("_prefix") == "", F.col("_missing").cast("string")).otherwise(F.concat_ws(".", "_prefix", F.col("_missing").cast("string")))
     twice = own.groupBy(*siblings, "_n", "number").agg(F.count("*").alias("times")).filter("times > 1")
     parent = nodes.select("doc_id", F.col("pos").alias("parent_pos"), F.col("number").alias("_parent"))
@@ -85,7 +87,7 @@ def list_numbering(items: DataFrame) -> DataFrame:
     pure = F.size(F.collect_set("marker_kind").over(W.partitionBy("doc_id", "pos"))) == 1
     own = items.withColumn("_n", n).withColumn("_pure", pure).filter("_pure AND _n IS NOT NULL").select("doc_id", "pos", "_n").distinct()
     gaps = own.withColumn("_before", F.lag("_n").over(W.partitionBy("doc_id", "pos").orderBy("_n"))).filter("_n - _before > 1")
-    return finding(gaps.withColumn("_m", F.explode(F.sequence(F.col("_before") + 1, F.col("_n") - 1))), F.concat_ws(":", F.col("pos").cast("string"), F.col("_m").cast("string")), "GBT-C14", "should", "list marker is skipped")
+    return finding(counted(gaps, F.col("_before") + 1, F.col("_n") - 1, "_m"), F.concat_ws(":", F.col("pos").cast("string"), F.col("_m").cast("string")), "GBT-C14", "should", "list marker is skipped")
 
 
 def confusable_numbers(nodes: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import citations, titles
@@ -79,11 +79,17 @@ class Corpus:
         return tree.paths(heads, "pos", "parent_pos", ["doc_id"])
 
 
+def punctuated(body: str) -> Column:
+    """Texts with wide punctuation; only those with ASCII punctuation and other than ASCII characters go to Python."""
+    has_both = F.col(body).rlike("[^\\x00-\\x7F]") & F.col(body).rlike("[,.:;!?()]")
+    return F.coalesce(repair.body_punctuation(F.when(has_both, F.col(body))), F.col(body))
+
+
 def parse(files: DataFrame, repaired: bool = True) -> Corpus:
     """The corpus of files given as doc_id and content."""
     read = source.decoded(files)
     documents = source.completed(source.with_front_matter(read.filter("NOT fatal")))
-    body = documents.select("doc_id", (repair.body_punctuation("body") if repaired else F.col("body")).alias("text"))
+    body = documents.select("doc_id", (punctuated("body") if repaired else F.col("body")).alias("text"))
     blocks = markdown.blocks(body)
     if repaired:
         for step in (repair.guide_phrase, repair.spaced_numbers, repair.bracketed_entries, repair.raised_levels, repair.demoted_sentences, repair.lost_markers):
@@ -109,7 +115,19 @@ def replay(docs: DataFrame, change, text: str = "text") -> DataFrame:
 
 
 def write(corpus: Corpus, out: str) -> None:
-    """All tables of a corpus below a folder."""
-    nodes, edges = corpus.graph()
-    for name, table in {"blocks": corpus.blocks, "structure": corpus.structure(), "citations": corpus.citations(), "findings": corpus.findings(), "kg_nodes": nodes, "kg_edges": edges, "catalogue": corpus.catalogue(), "rejected": corpus.rejected, "markdown": sinks.plain_markdown(corpus.blocks), "html": sinks.html(corpus.blocks)}.items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
+    """All tables of a corpus below a folder.
+
+    Files are parsed once: documents, blocks and nodes are written first, and
+    all other tables come from what was written.
+    """
+    spark = corpus.blocks.sparkSession
+
+    def put(name: str, rows: DataFrame) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{out}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{out}/{name}")
+
+    blocks = put("blocks", corpus.blocks)
+    own = Corpus(put("documents", corpus.documents), put("rejected", corpus.rejected), blocks, put("nodes", markdown.sections(blocks)))
+    nodes, edges = own.graph()
+    for name, table in {"structure": own.structure(), "citations": own.citations(), "findings": own.findings(), "kg_nodes": nodes, "kg_edges": edges, "catalogue": own.catalogue(), "markdown": sinks.plain_markdown(own.blocks), "html": sinks.html(own.blocks)}.items():
+        put(name, table)
