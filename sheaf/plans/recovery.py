@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators import alignment, markdown, patterns, prose, spans, validation
+from sheaf.operators import alignment, footnotes, markdown, patterns, prose, spans, validation
 from sheaf.plans.shapes import cases
 
 LONG = "长" * 3000
@@ -147,3 +147,44 @@ cases("schema_faults", "json string", "path string, code string, detail string",
     ([('{"id":"D","n":1.5,"root":' + nested('{"kind":"z"}', 11) + "}",)], [("id", "short", "D"), ("n", "type", "integer, not number"), ("root/" + "kids/0/" * 11 + "kind", "choice", '"z"')]),
     ([('{"id":"E{k}","root":null}',)], [("id", "pattern", "E{k}"), ("root", "type", "object, not null")]),
 ], lambda d: validation.schema_faults(d, SCHEMA))
+
+# ---- footnotes of the text layer
+
+SPANS = "side string, page int, x0 double, y0 double, x1 double, size double, text string"
+
+
+def body(text: str | None) -> tuple:
+    return "doc", None, None, None, None, None, text
+
+
+def height(points: float, page: int = 1) -> tuple:
+    return "page", page, None, float(points), None, None, None
+
+
+def span(x0: float, y0: float, x1: float, size: float, text: str, page: int = 1) -> tuple:
+    return "span", page, float(x0), float(y0), float(x1), float(size), text
+
+
+def _footnotes(rows: DataFrame) -> DataFrame:
+    """Texts, spans and pages of each document apart; what comes out goes in again and stays."""
+    own = rows.filter("side = 'span'").select("doc_id", "page", "x0", "y0", "x1", "size", "text")
+    pages = rows.filter("side = 'page'").select("doc_id", "page", F.col("y0").alias("height"))
+    once = footnotes.recovered(rows.filter("side = 'doc'").select("doc_id", "text"), own, pages)
+    again = footnotes.recovered(once, own, pages).select("doc_id", F.col("text").alias("again"), F.col("n_recovered").alias("n_again"))
+    return once.join(again, "doc_id")
+
+
+PAGE = [height(800), span(10, 100, 200, 10, "按照下列规定的标准"), span(200, 98, 205, 6, "2"), span(205, 98.5, 208, 6, ")"), span(210, 100, 400, 10, "执行。"), *(span(10, 200 + 20 * i, 400, 10, "正文") for i in range(6))]
+
+cases("recovered_footnotes", SPANS, "text string, n_recovered int, again string, n_again int", [
+    # the mark's digit stuck to the text; its definition goes on in a second line
+    ([body("按照下列规定的标准2执行。\n\n下一段{k}"), *PAGE, span(10, 700, 50, 8, "2) 现行"), span(50, 701, 90, 8, "版本"), span(10, 712, 90, 8, "有效。"), span(10, 760, 20, 8, "12")],
+     [("按照下列规定的标准[foot:1]执行。\n\n\n<!--ssir:foot:1-->现行版本有效。<!--ssir:/foot-->\n\n下一段{k}", 1, "按照下列规定的标准[foot:1]执行。\n\n\n<!--ssir:foot:1-->现行版本有效。<!--ssir:/foot-->\n\n下一段{k}", 0)]),
+    # the definition is a line of the text; only the last six characters before the mark are the same
+    ([body("另有下列规定的标准2执行。\n  2）旧{k}"), *PAGE, span(10, 700, 50, 8, "2)旧{k}")],
+     [("另有下列规定的标准[foot:1]执行。\n  <!--ssir:foot:1-->旧{k}<!--ssir:/foot-->", 1, "另有下列规定的标准[foot:1]执行。\n  <!--ssir:foot:1-->旧{k}<!--ssir:/foot-->", 0)]),
+    # no definition: nothing is written; no marks; no text
+    ([body("按照下列规定的标准2执行。"), *PAGE], [("按照下列规定的标准2执行。", 0, "按照下列规定的标准2执行。", 0)]),
+    ([body("2 {k}"), height(800), span(10, 700, 50, 8, "2) x")], [("2 {k}", 0, "2 {k}", 0)]),
+    ([body(None), *PAGE, span(10, 700, 50, 8, "2) x")], [(None, 0, None, 0)]),
+], _footnotes)
