@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators import alignment, footnotes, markdown, patterns, prose, spans, validation
+from sheaf.operators import alignment, annexes, footnotes, lines, markdown, patterns, prose, repair, spans, tree, validation
 from sheaf.plans.shapes import cases
 
 LONG = "长" * 3000
@@ -188,3 +188,54 @@ cases("recovered_footnotes", SPANS, "text string, n_recovered int, again string,
     ([body("2 {k}"), height(800), span(10, 700, 50, 8, "2) x")], [("2 {k}", 0, "2 {k}", 0)]),
     ([body(None), *PAGE, span(10, 700, 50, 8, "2) x")], [(None, 0, None, 0)]),
 ], _footnotes)
+
+# ---- annex headings
+
+cases("rebuilt_annex_headings", "line string", "pos int, line string, issue string", [
+    # three headings; two; a status without a heading; none of them a heading
+    ([("# 附录B",), ("",), ("# (规范性附录)",), ("# 试验{k}",), ("# 附 录 A",), ("## （资料性附录） 质量",), ("x",)], [(0, "## 附录 B（规范性） 试验{k}", "GEN-030"), (4, "## 附录 A（资料性） 质量", "GEN-030"), (6, "x", None)]),
+    ([("## 附录C",), ("(规范性)",), ("",), ("## 标题",), ("附录D",), ("(资料性)",), ("外形{k}",), ("",), ("正文",)], [(0, "## 附录 C（规范性） 标题", "GEN-030"), (4, "## 附录 D（资料性） 外形{k}", "GEN-030"), (7, "", None), (8, "正文", None)]),
+    ([("# 附录E",), ("(推荐性)",), ("标题",), ("# 附录F",), ("## 名称",)], [(0, "## 附录 E（推荐性） 标题", "GEN-030"), (3, "## 附录 F 名称", "GEN-030")]),
+    # a clause follows, another annex follows, nothing follows, a mention in a sentence
+    ([("# 附录G",), ("## G.1 总则{k}",), ("# 附录H",), ("# 附录J",), ("见附录A",), (None,), ("附录K",), ("(规范性)",), ("末行",)],
+     [(0, "# 附录G", None), (1, "## G.1 总则{k}", None), (2, "# 附录H", None), (3, "# 附录J", None), (4, "见附录A", None), (5, None, None), (6, "附录K", None), (7, "(规范性)", None), (8, "末行", None)]),
+], annexes.rebuilt_annex_headings)
+
+# ---- several operators, one after the other
+
+
+def _chained(rows: DataFrame) -> DataFrame:
+    """Split annex headings rebuilt, blocks parsed, numbers restored, levels raised, then the tree."""
+    cut = lines.lines(rows.select("doc_id", "text"))
+    whole = annexes.rebuilt_annex_headings(cut)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]), "\n")
+    blocks = markdown.blocks(whole.groupBy("doc_id").agg(text.alias("text")))
+    sections = markdown.sections(repair.raised_levels(repair.restored_numbers(blocks)))
+    heads = sections.filter("kind = 'heading'")
+    return tree.paths(heads.select("doc_id", "pos", "parent_pos", "node_type", "number", "level"), "pos", "parent_pos", ["doc_id"])
+
+
+cases("chained_structure", "text string", "pos int, parent_pos int, node_type string, number string, level int, depth int", [
+    ([("# 标准{k}\n## 1 范围\n正文\n## 11 总则\n## 1.11 细则\n# 附录A\n\n# (规范性)\n# 试验\n## A.1 方法",)],
+     [(2, None, "section", "1", 2, 1), (4, 2, "clause", "1.1", 3, 2), (5, 4, "subClause", "1.1.1", 4, 3), (6, None, "annex", "A", 2, 1), (7, 6, "annexSection", "A.1", 2, 2)]),
+    ([("no heading {k}",)], []),
+    ([(None,)], []),
+], _chained)
+
+
+def _cited_places(rows: DataFrame) -> DataFrame:
+    """Paragraphs assembled, laid out in a ledger, and the places of the strings that are asked for in them."""
+    parts = prose.assembled(markdown.classified(rows.filter("side = 'text'").select("doc_id", "text")))
+    ordered = parts.withColumn("pos", F.struct("start_line", "part"))
+    held = lines.ledger(ordered, text="text")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]), "\n")
+    texts = ordered.groupBy("doc_id").agg(whole.alias("text"))
+    owner = F.concat_ws(":", F.col("start_line").cast("string"), F.col("part").cast("string"))
+    asked = rows.filter("side = 'cited'").select("doc_id", F.col("pos").alias("mention"), "owner", F.col("text").alias("needle"))
+    return spans.located(asked, held.select("doc_id", owner.alias("owner"), "start_char", "end_char"), texts)
+
+
+cases("cited_places", "side string, owner string, text string", "mention long, start_char long, end_char long, status string", [
+    ([("text", None, "见 GB/T 1，\n\n和 GB/T 1。注1：GB/T 1"), ("cited", "0:0", "GB/T 1"), ("cited", "0:0", "GB/T1"), ("cited", "0:0", "GB/T 1"), ("cited", "0:1", "GB/T 1"), ("cited", "9:9", "注1")],
+     [(1, 2, 8, "resolved"), (2, 0, 18, "partiallyResolved"), (3, 11, 17, "resolved"), (4, 22, 28, "resolved"), (5, 19, 21, "partiallyResolved")]),
+], _cited_places)
