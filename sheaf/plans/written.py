@@ -159,6 +159,22 @@ cases("page_paragraphs", "text string", "page int, block int, type string, text
     ([(None,)], []),
 ], laid(lambda d: layout.paragraphs(layout.page_blocks(d))))
 
+def shown(kind: str, **span) -> dict:
+    return {"type": kind, "bbox": [0, 0, 1, 1], "lines": [{"bbox": [0, 0, 1, 1], "spans": [span]}]}
+
+
+GRID = "<table><tr><td>1</td></tr></table>"
+
+cases("layout_objects", "text string", "block int, type string, text string, warning string", [
+    ([(pages(page([outer("table", said("table_caption", "表1"), shown("table_body", type="table", html=GRID), said("table_footnote", "a 注{k}"), said("table_footnote", " ")), outer("table", said("table_caption", "表2"), said("table_footnote", "b")), outer("table", said("table_footnote", "c")), said("text", "no")])),)],
+     [(0, "table", "表1\n\n" + GRID + "\n\na 注{k}", None), (1, "table", "表2\n\n> [表2（表格结构未识别，原始抽取未提供表格正文）]\n\nb", "table without body"), (2, "table", "c", "table without caption and body")]),
+    ([(pages(page([outer("image", picture("a.png", (0, 0, 1, 1)), picture("b{k}.png", (0, 0, 1, 1)), said("image_caption", "图1 甲"), said("image_caption", "a) 乙"), said("image_footnote", "注")), outer("chart", shown("chart_body", type="image", image_path="c.png")), outer("image", said("image_caption", "图3")), outer("image", said("image_body", "text"), said("image_caption", "图4"))])),)],
+     [(0, "image", "![](a.png)\n\n![a) 乙](b{k}.png)\n\n注", None), (1, "chart", "![](c.png)", None), (2, "image", "图3", "figure without picture"), (3, "image", "text\n\n图4", "figure that is no picture")]),
+    ([(pages(page([shown("interline_equation", type="interline_equation", latex="a+{k}", image_path="e.png"), shown("interline_equation", type="interline_equation", latex="差错率", image_path="e.png"), shown("interline_equation", type="interline_equation", image_path="e.png"), shown("interline_equation", type="interline_equation")])),)],
+     [(0, "interline_equation", "$$\na+{k}\n$$", None), (1, "interline_equation", '<!-- ssir:formula asset-ref="e.png" -->\n\n$$\n差错率\n$$', None), (2, "interline_equation", "![](e.png)", None), (3, "interline_equation", "", "equation without formula and picture")]),
+    ([(pages(page([])),)], []),
+], laid(lambda d: layout.object_texts(layout.page_blocks(d))))
+
 FIGURES = pages(page([outer("image", picture("a{k}.png", (0, 0, 100, 200)), said("image_caption", "图1", box=(10, 190, 90, 210)))]), page([outer("image", picture("b.png", (0, 0, 100, 100)))], 1))
 
 cases("figure_captions", "text string", "page int, text string, figure_asset string, overlap double", [

@@ -93,3 +93,62 @@ def example_styles(frames: DataFrame) -> DataFrame:
     """Per document whether examples are framed or filled: framed on a tie; frames have doc_id and style."""
     strokes, fills = F.count_if(F.col("style") == "stroke"), F.count_if(F.col("style") == "fill")
     return frames.groupBy("doc_id").agg(F.when(strokes >= fills, "frame").otherwise("fill").alias("example_style"))
+
+
+# The caption of one of several pictures in a figure, and Han characters.
+SUB_CAPTION = "^[A-Za-z][)）]"
+HAN = "[一-鿿]"
+
+
+def _piece(span: Column) -> Column:
+    """A span as text: the HTML of a table, the address of a picture, else what it says."""
+    picture = F.concat(F.lit("![]("), span["image_path"], F.lit(")"))
+    return F.coalesce(span["html"], F.when(F.coalesce(span["content"], span["latex"]).isNull(), picture), _span(span))
+
+
+def _inner_texts(ending: str) -> Column:
+    """Texts of a block's inner blocks whose type ends so, in order; empty ones are left out."""
+    own = F.filter("blocks", lambda b: b["type"].endswith(ending))
+    texts = F.transform(own, lambda b: F.trim(glued(F.transform(F.flatten(F.transform(b["lines"], lambda line: line["spans"])), _piece))))
+    return F.coalesce(F.filter(texts, lambda t: t != ""), F.array().cast("array<string>"))
+
+
+def object_texts(blocks: DataFrame) -> DataFrame:
+    """doc_id, page, block, type, text and warning of tables, figures and equations.
+
+    A table is its caption, its body (HTML or a picture) and its footnotes, a
+    blank line between; without a body the caption stays and a mark says so. A
+    figure is its pictures, the last with the caption in its alternative text:
+    that of a part (a) ...) where several are there, else the first. An equation
+    is a formula block, with its picture named where the formula holds Han
+    characters, or the picture alone. What has nothing to show has an empty text
+    and a warning.
+    """
+    caption, body, notes = _inner_texts("_caption"), _inner_texts("_body"), _inner_texts("_footnote")
+    last = lambda texts: F.try_element_at(texts, F.lit(-1))
+    lost = F.concat(F.lit("> ["), last(caption), F.lit("（表格结构未识别，原始抽取未提供表格正文）]"))
+    table = F.concat(F.filter(F.array(last(caption), F.coalesce(last(body), lost)), lambda t: t.isNotNull()), notes)
+
+    chosen = F.coalesce(F.try_element_at(F.filter(caption, lambda t: t.rlike(SUB_CAPTION)), F.lit(1)), F.try_element_at(caption, F.lit(1)))
+    named = F.when(chosen.isNotNull(), F.concat(F.lit("!["), chosen, F.lit("]("), F.regexp_extract(last(body), r"^!\[.*?\]\((.*)\)$", 1), F.lit(")"))).otherwise(last(body))
+    is_picture = last(body).rlike(r"^!\[.*?\]\(.*\)$")
+    pictures = F.when(is_picture, F.concat(F.slice(body, F.lit(1), F.greatest(F.size(body) - 1, F.lit(0))), F.array(named))).otherwise(F.concat(body, caption))
+    figure = F.when(F.size(body) > 0, F.concat(pictures, notes)).otherwise(F.concat(caption, notes))
+
+    spans = F.flatten(F.transform("lines", lambda line: line["spans"]))
+    latex = last(F.filter(F.transform(spans, lambda s: F.coalesce(s["content"], s["latex"])), lambda t: F.coalesce(t, F.lit("")) != ""))
+    asset = last(F.filter(F.transform(spans, lambda s: s["image_path"]), lambda t: F.coalesce(t, F.lit("")) != ""))
+    formula = F.concat(F.lit("$$\n"), latex, F.lit("\n$$"))
+    drawn = F.concat(F.lit('<!-- ssir:formula asset-ref="'), asset, F.lit('" -->\n\n'), formula)
+    equation = F.coalesce(F.when(latex.rlike(HAN), drawn), formula, F.concat(F.lit("![]("), asset, F.lit(")")), F.lit(""))
+
+    kind = F.col("type")
+    text = F.when(kind == "table", F.array_join(table, "\n\n")).when(kind.isin("image", "chart"), F.array_join(figure, "\n\n")).otherwise(equation)
+    warning = (
+        F.when((kind == "table") & (F.size(body) == 0), F.when(F.size(caption) > 0, "table without body").otherwise("table without caption and body"))
+        .when(kind.isin("image", "chart") & (F.size(body) == 0), "figure without picture")
+        .when(kind.isin("image", "chart") & ~is_picture & (F.size(caption) > 0), "figure that is no picture")
+        .when((kind == "interline_equation") & (equation == ""), "equation without formula and picture")
+    )
+    own = blocks.filter(kind.isin("table", "image", "chart", "interline_equation"))
+    return own.select("doc_id", "page", "block", "type", text.alias("text"), warning.alias("warning"))
