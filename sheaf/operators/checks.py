@@ -43,10 +43,23 @@ def dangling(rows: DataFrame, ref: str, targets: DataFrame, target: str) -> Data
     return rows.filter(F.col(ref).isNotNull()).join(known, F.col(ref) == F.col("_target"), "left_anti")
 
 
-def suffixed_ids(rows: DataFrame, path: str, *order: str, name: str = "element_id") -> DataFrame:
-    """Identifiers from paths; a path's second and later rows get -2, -3 and so on."""
-    n = F.row_number().over(W.partitionBy(path).orderBy(*order))
-    return rows.withColumn("_n", n).withColumn(name, F.when(F.col("_n") == 1, F.col(path)).otherwise(F.concat_ws("-", path, F.col("_n").cast("string")))).withColumn("is_repeat", F.col("_n") > 1).drop("_n")
+def suffixed_ids(rows: DataFrame, path: str, *order: str, name: str = "element_id", part: Column | None = None) -> DataFrame:
+    """Identifiers from paths; a path's second and later rows get -2, -3 and so on.
+
+    ``part`` is a coarse form of the order (its rows don't interleave), such as
+    the document's number by thousands: rows are then numbered within their part
+    and parts by their sizes, so that a path with very many rows is no one
+    task's.
+    """
+    keys = [path] if part is None else [path, "_part"]
+    own = rows if part is None else rows.withColumn("_part", part)
+    numbered = own.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    if part is not None:
+        before = F.sum("count").over(W.partitionBy(path).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+        sizes = own.groupBy(*keys).count().select(*(F.col(k).alias(f"_{k}") for k in keys), F.coalesce(before, F.lit(0)).alias("_before"))
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        numbered = numbered.join(sizes, same).withColumn("_n", F.col("_n") + F.col("_before")).drop("_part", "_before", *(f"_{k}" for k in keys))
+    return numbered.withColumn(name, F.when(F.col("_n") == 1, F.col(path)).otherwise(F.concat_ws("-", path, F.col("_n").cast("string")))).withColumn("is_repeat", F.col("_n") > 1).drop("_n")
 
 
 def comparison_key(column: Column) -> Column:

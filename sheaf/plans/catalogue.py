@@ -142,7 +142,7 @@ SELECT doc_id, element_id, is_repeat FROM (
 def element_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identifiers from paths, repeats numbered in order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("#", "source", "lang").alias("path"))
-    return checks.suffixed_ids(docs, "path", "doc_id").select("doc_id", "element_id", "is_repeat")
+    return checks.suffixed_ids(docs, "path", "doc_id", part=F.floor(F.col("doc_id") / 4096)).select("doc_id", "element_id", "is_repeat")
 
 
 @query("""

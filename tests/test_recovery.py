@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from sheaf.operators import alignment, patterns, repair, rulepacks, validation
+from sheaf.functions import citations
+from sheaf.operators import alignment, checks, patterns, repair, rulepacks, validation
 from sheaf.plans.asked import PACKS
 from sheaf.sources import sinks
 
@@ -72,3 +73,30 @@ def test_schema_places():
     schema = {"$ref": "#/definitions/a", "definitions": {"a": {"properties": {"x/y": {"$ref": "#/definitions/a"}}, "additionalProperties": {"type": ["string", "null"]}}}}
     rows = {r[0]: r for r in validation.compiled(schema)}
     assert rows["#/definitions/a"][3] == {"x/y": "#/definitions/a"} and rows["#/definitions/a/additionalProperties"][1] == ["string", "null"]
+
+
+def test_numbers_of_paths_by_parts(spark):
+    rows = spark.createDataFrame([(i, "p" if i % 3 else ("q" if i % 2 else None)) for i in range(500)], "doc_id int, path string")
+    whole = checks.suffixed_ids(rows, "path", "doc_id")
+    parts = checks.suffixed_ids(rows, "path", "doc_id", part=F.floor(F.col("doc_id") / 64))
+    assert parts.columns == whole.columns and sorted(map(tuple, parts.fillna("").collect())) == sorted(map(tuple, whole.fillna("").collect()))
+
+
+def test_wide_gaps(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 3), (1, 200_000), (2, 5), (3, None)], "g int, n int")
+    got = checks.numbering_gaps(rows, "g", "n").agg(F.count("*"), F.min("missing"), F.max("missing"), F.countDistinct("missing")).first()
+    assert tuple(got) == (199_997, 2, 199_999, 199_997)
+
+
+def test_matches_of_long_texts(spark):
+    import re
+
+    text = "。".join(f"见 GB/T {i} 和 GB {i}" for i in range(600)) + "末尾" * 5000
+    got = spark.createDataFrame([(text,), ("无",), (None,)], "text string").select(citations.matches(F.col("text"), "GB(?:/T)? [0-9]+").alias("m")).collect()
+    assert got[1]["m"] is None and got[2]["m"] is None
+    want = list(re.finditer("GB(?:/T)? [0-9]+", text))
+    assert [(r["start"], r["hit"]) for r in got[0]["m"]] == [(m.start(), m[0]) for m in want]
+    for r, m in zip(got[0]["m"], want, strict=True):
+        assert text[: m.start()].endswith(r["before"]) and text[m.end() :].startswith(r["after"])
+        assert r["before"].split("。")[-1] == text[: m.start()].split("。")[-1] and r["after"].split("。")[0] == text[m.end() :].split("。")[0]
+    assert max(len(r["before"]) for r in got[0]["m"]) < 100
