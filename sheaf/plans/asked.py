@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators import catalog, content, joins, lines, references, repair, rulepacks, structure, tree
+from sheaf.operators import catalog, content, joins, lines, references, repair, rulepacks, rules, structure, tree
 from sheaf.plans.shapes import BLOCK, FINDING, block, cases, heading
 from sheaf.sources import html, layout
 
@@ -119,9 +119,37 @@ cases("graph_reference_list", CITED, "standard_id string, pos int", [
     (ENTRIES, [("GB/T 1", 0), ("GB/T 2.{k}", 1)]),
 ], references.graph_references)
 
+cases("listed_uncited_entries", CITED, "standard_id string, pos int, near_misses string", [
+    ([cite("GB/T 1", listed=True), cite("GB 2", listed=True), cite("GB 9.{k}", listed=True), cite("GB/T 2", "2010"), cite("GB/T 1", nature="informative")], [("GB 2", 1, "GB/T 2"), ("GB 9.{k}", 2, "")]),
+    ([cite("GB/T 1", listed=True), cite("GB/T 1—2011")], []),
+    ([cite("X")], []),
+], lambda d: references.listed_but_uncited(d).withColumn("near_misses", F.array_join("near_misses", "|")))
+
+cases("cited_unlisted_entries", CITED, "standard_id string, pos int", [
+    # a series covers its part, a part its series; informative citations need no entry
+    ([cite("GB/T 1", listed=True), cite("GB/T 2.3", listed=True), cite("GB/T 1.{k}"), cite("GB/T 2"), cite("GB/T 12"), cite("GB/T 12"), cite("ISO 9", nature="informative")], [("GB/T 12", 4)]),
+    ([cite("GB 1.{k}")], [("GB 1.{k}", 0)]),
+], references.cited_but_unlisted)
+
+cases("resolved_mentions", "side string, target_type string, number string, match_no int, source_id string, target_id string", "pos int, number string, target_id string, status string", [
+    ([("mention", "internalTable", "3", 0, "n", None), ("mention", "internalTable", "3", 1, "n", None), ("mention", "internalTable", "B-1", 0, "n", None), ("mention", "internalFigure", "3", 0, "n", None), ("target", "internalTable", "3", None, None, "T3-{k}"), ("target", "internalTable", "B.1", None, None, "TB")],
+     [(0, "3", "T3-{k}", "resolved"), (2, "B-1", "TB", "resolved"), (3, "3", None, "unresolved")]),
+    ([("target", "internalTable", "1", None, None, "T")], []),
+], lambda d: references.resolved(d.filter("side = 'mention'").drop("side", "target_id"), d.filter("side = 'target'").select("doc_id", "target_type", "number", "target_id")))
+
+cases("all_verdicts", "side string, kind string, node_type string, number string, title string", "subject string, rule_id string, status string", [
+    ([("node", "heading", "annex", "A", "x"), ("node", "heading", "annex", "C", "y"), ("block", "paragraph", None, None, "不大于 5")], [("B", "GBT-C15", "fail"), ("limits", "GBT-P10-R02", "warning")]),
+    ([("node", "heading", "annex", "A", "{k}"), ("block", "paragraph", None, None, None)], []),
+], lambda d: rules.verdicts(rules.annex_letters(d.filter("side = 'node'")), rules.limits_without_unit(d.filter("side = 'block'").select("doc_id", "pos", "kind", F.col("title").alias("text")))))
+
+cases("unified_list_markers", "list int, item int, marker string, marker_kind string", "list int, item int, marker string, issue string", [
+    ([(1, 0, "-", "symbol"), (1, 1, "—", "symbol"), (1, 2, "—", "symbol"), (1, 3, "a）", "letter"), (2, 0, "-", "symbol"), (2, 1, "—", "symbol"), (3, 0, "•", "symbol")],
+     [(1, 0, "—", "CSM-OCR-001"), (1, 1, "—", None), (1, 2, "—", None), (1, 3, "a）", None), (2, 0, "-", None), (2, 1, "—", None), (3, 0, "•", None)]),
+    ([(1, 0, None, None)], [(1, 0, None, None)]),
+], lambda d: repair.unified_markers(d.drop("pos").withColumnRenamed("list", "pos")).withColumnRenamed("pos", "list"))
+
 # ---- structure
 
-TITLED = "title string, number string, issue string"
 NAME = "额定值  rated value"
 
 cases("merged_term_entries", BLOCK, "pos int, kind string, title string, number string, issue string", [

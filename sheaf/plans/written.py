@@ -87,6 +87,25 @@ cases("emphasized_texts", "text string", "text string", [
     ([(None,)], [(None,)]),
 ], lambda d: d.withColumn("text", text.emphasis("text")))
 
+cases("cover_banners", "number string", "number string, banner string", [
+    ([("GB/T {k}",), ("DB11/1",), ("Q/AB 1",)], [("GB/T {k}", "中华人民共和国国家标准"), ("DB11/1", "地方标准"), ("Q/AB 1", "企业标准")]),
+    ([("ISO 1",), ("",), (None,)], [("ISO 1", None), ("", None), (None, None)]),
+], lambda d: d.withColumn("banner", text.banner(F.col("number"))))
+
+
+def _emblems(rows: DataFrame) -> DataFrame:
+    """Numbers of each document beside the prefixes that have an emblem."""
+    known = rows.sparkSession.createDataFrame([("GB", "g"), ("GB/Z", "z")], "prefix string, emblem string")
+    return text.emblems(rows.select("doc_id", F.col("number").alias("standard_number")), known)
+
+
+cases("cover_emblems", "number string", "standard_number string, emblem string", [
+    ([("GB/T {k}",)], [("GB/T {k}", "g")]),
+    ([("GB/Z 1",)], [("GB/Z 1", "z")]),
+    ([("ISO",)], [("ISO", None)]),
+    ([(None,)], [(None, None)]),
+], _emblems)
+
 cases("unglued_titles", "title string", "title string", [
     ([("generalrules for {k} x",)], [("general rules for {k} x",)]),
     ([("electricalmachines, rotatingelectricalmachines",)], [("electrical machines, rotatingelectricalmachines",)]),
