@@ -89,8 +89,6 @@ def test_long_texts_are_cut_between_words():
 
 def brute_repeats(rows):
     """By windows in the order of documents; ids and texts that repeat are one document."""
-    from pyspark.sql import functions as F  # noqa: F401
-
     seen, out = set(), {}
     for key, data in rows:
         gone = np.zeros(len(data), bool)
