@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators import alignment, annexes, footnotes, lines, markdown, patterns, prose, repair, spans, tree, validation
+from sheaf.operators import alignment, annexes, declarations, footnotes, lines, markdown, patterns, prose, repair, spans, tree, validation
 from sheaf.plans.shapes import cases
 
 LONG = "长" * 3000
@@ -239,3 +239,17 @@ cases("cited_places", "side string, owner string, text string", "mention long, s
     ([("text", None, "见 GB/T 1，\n\n和 GB/T 1。注1：GB/T 1"), ("cited", "0:0", "GB/T 1"), ("cited", "0:0", "GB/T1"), ("cited", "0:0", "GB/T 1"), ("cited", "0:1", "GB/T 1"), ("cited", "9:9", "注1")],
      [(1, 2, 8, "resolved"), (2, 0, 18, "partiallyResolved"), (3, 11, 17, "resolved"), (4, 22, 28, "resolved"), (5, 19, 21, "partiallyResolved")]),
 ], _cited_places)
+
+# ---- bodies of declarations
+
+cases("declared_items", "line string", "name string, start_line int, end_line int, item int, label string, text string", [
+    # items with blank lines between, up to the first line of another form
+    ([("<!-- ssir:figure-legend -->",), ("",), ("1——轴{k}；",), ("",), ("b — 壳。",), ("正文",), ("2——不属于",)], [("figure-legend", 0, 4, 0, "1", "轴{k}"), ("figure-legend", 0, 4, 1, "b", "壳")]),
+    # closed: all lines stay, also those of another form; then one without items
+    ([("<!-- ssir:figure-sub -->",), ("a) 正面{k}",), ("其他",), ("| x |",), ("<!-- ssir:/figure-sub -->",), ("<!-- ssir:figure-sub -->",), ("# 1",)],
+     [("figure-sub", 0, 4, 0, "a", "正面{k}"), ("figure-sub", 0, 4, 1, None, "其他"), ("figure-sub", 0, 4, 2, None, "| x |"), ("figure-sub", 5, 5, None, None, None)]),
+    # a heading before the closing directive: the items alone; a directive ends them too
+    ([("<!-- ssir:figure-legend -->",), ("1-a",), ("# h",), ("<!-- ssir:/figure-legend -->",), ("<!-- ssir:figure-legend -->",), ("2-b",), ("<!-- ssir:table -->",), ("3-c",), (None,)],
+     [("figure-legend", 0, 1, 0, "1", "a"), ("figure-legend", 4, 5, 0, "2", "b")]),
+    ([(None,), ("x{k}",)], []),
+], declarations.declared)
