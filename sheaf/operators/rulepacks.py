@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,22 +67,24 @@ def layered(rules: DataFrame, precedence: list[str]) -> DataFrame:
     return rules.filter("fault IS NULL").withColumn("_n", best).filter("_n = 1").drop("_n")
 
 
-def facts(tables: dict[str, DataFrame]) -> DataFrame:
-    """doc_id and what holds for it, of the conditions that rules name."""
-    nodes = tables["nodes"].groupBy("doc_id").agg(
-        F.bool_or(F.col("number").isNotNull()).alias(FACTS[0]),
-        F.bool_or(F.coalesce(F.col("number").contains("."), F.lit(False))).alias(FACTS[1]),
-        F.bool_or(F.coalesce(F.col("node_type") == "annex", F.lit(False))).alias(FACTS[2]),
-    )
-    kinds = [F.bool_or(F.col("target_type") == kind).alias(name) for kind, name in (("internalClause", FACTS[3]), ("internalTable", FACTS[4]), ("internalFigure", FACTS[5]))]
-    mentions = tables["mentions"].groupBy("doc_id").agg(*kinds)
-    unknown = tables["blocks"].groupBy("doc_id").agg(F.bool_or(F.col("kind") == "unknown").alias(FACTS[6]))
-    own = tables["documents"].select("doc_id", "meta")
-    for part in (nodes, mentions, unknown):
-        own = own.join(part, "doc_id", "left")
+def _with_facts(tables: dict[str, DataFrame]) -> DataFrame:
+    """doc_id, meta and facts: the rows of all tables are gathered once for each document."""
+    kinds = {"internalClause": FACTS[3], "internalTable": FACTS[4], "internalFigure": FACTS[5]}
+    told = [
+        tables["nodes"].select("doc_id", F.explode(F.array_compact(F.array(F.when(F.col("number").isNotNull(), FACTS[0]), F.when(F.col("number").contains("."), FACTS[1]), F.when(F.col("node_type") == "annex", FACTS[2])))).alias("_fact")),
+        *(tables["mentions"].filter(F.col("target_type") == kind).select("doc_id", F.lit(name).alias("_fact")) for kind, name in kinds.items()),
+        tables["blocks"].filter("kind = 'unknown'").select("doc_id", F.lit(FACTS[6]).alias("_fact")),
+    ]
+    gathered = reduce(DataFrame.unionByName, told).groupBy("doc_id").agg(*(F.bool_or(F.col("_fact") == name).alias(name) for name in FACTS))
     standard = F.coalesce(F.try_element_at("meta", F.lit("document-type")) == "standard", F.lit(False))
     there = [F.when(F.col(name), F.lit(name)) for name in FACTS]
-    return own.select("doc_id", F.filter(F.array(F.lit(ALWAYS), F.when(standard, F.lit(STANDARD)), *there), lambda x: x.isNotNull()).alias("facts"))
+    own = tables["documents"].join(gathered, "doc_id", "left")
+    return own.select(*tables["documents"].columns, F.array_compact(F.array(F.lit(ALWAYS), F.when(standard, F.lit(STANDARD)), *there)).alias("facts"))
+
+
+def facts(tables: dict[str, DataFrame]) -> DataFrame:
+    """doc_id and what holds for it, of the conditions that rules name."""
+    return _with_facts(tables).select("doc_id", "facts")
 
 
 def _key(path: str | None) -> str:
@@ -96,10 +99,10 @@ def audit(tables: dict[str, DataFrame], rules: DataFrame) -> DataFrame:
     States: pass, fail (severity must), warning, not-applicable (the document
     lacks what the rule presumes), unresolved (an unknown operator or condition).
     """
-    found = tables["documents"].join(facts(tables), "doc_id")
+    found = _with_facts(tables)
     known = {ALWAYS, STANDARD, *FACTS}
-    checks = []
-    for rule in rules.collect():  # a rule pack is a file that people write
+    checks, in_force = [], rules.collect()  # a rule pack is a file that people write
+    for rule in in_force:
         holds: Column = F.array_contains("facts", rule["applicability"])
         operator = rule["operator"] if rule["applicability"] in known else None
         check = {"id": rule["rule_id"], "operator": operator, "target": _key(rule["target"]), "severity": rule["severity"], "applies": holds}
@@ -107,4 +110,5 @@ def audit(tables: dict[str, DataFrame], rules: DataFrame) -> DataFrame:
             check["expected"] = json.loads(rule["expected"])
         checks.append(check)
     states = ruled.audited(tables | {"documents": found}, checks).drop("operator")
-    return states.join(F.broadcast(rules.select(F.col("rule_id").alias("check_id"), "operator", "category", "severity", "obligation")), "check_id")
+    own = found.sparkSession.createDataFrame([tuple(r[c] for c in ("rule_id", "operator", "category", "severity", "obligation")) for r in in_force], "check_id string, operator string, category string, severity string, obligation string")
+    return states.join(F.broadcast(own), "check_id")
