@@ -59,10 +59,9 @@ def groups_within(rows: DataFrame, opens: Column, parts: Column, closes: Column,
 
 def until_broken(rows: DataFrame, starts: Column, fits: Column, key: str = "doc_id", pos: str = "pos", name: str = "skipped") -> DataFrame:
     """Marks the rows after a starting row for as long as each fits, as a table of contents after its heading."""
-    held = rows.withColumn("_part", running(F.when(starts, 1).otherwise(0), key, pos))
-    w = W.partitionBy(key, "_part").orderBy(pos).rowsBetween(W.unboundedPreceding, W.currentRow)
-    broken = F.max(F.when(starts | fits, 0).otherwise(1)).over(w)
-    return held.withColumn(name, (F.col("_part") > 0) & (broken == 0) & ~starts).drop("_part")
+    w = W.partitionBy(key).orderBy(pos).rowsBetween(W.unboundedPreceding, W.currentRow)
+    held = rows.withColumns({"_start": F.max(F.when(starts, F.col(pos))).over(w), "_break": F.max(F.when(F.coalesce(~starts & ~fits, F.lit(True)), F.col(pos))).over(w)})
+    return held.withColumn(name, F.col("_start").isNotNull() & (F.col("_break").isNull() | (F.col("_break") < F.col("_start"))) & ~starts).drop("_start", "_break")
 
 
 def next_matching(rows: DataFrame, value: Column, matches: Column, key: str = "doc_id", pos: str = "pos", name: str = "target") -> DataFrame:

@@ -82,7 +82,8 @@ def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         kind = F.when((F.col("kind") == "quote") & inner.rlike(pattern), quote).otherwise(kind)
     out = made.withColumns({"level": level, "name": name, "number": number}).withColumn("kind", kind)
     title = F.when(F.col("number").isNotNull(), F.regexp_replace("name", r"(?U)^(?:附\s*录\s*[A-Z]|[A-Z](?:\.\d+)+|\d+(?:\.\d+)*)\s*", "")).otherwise(F.col("name"))
-    return out.select(key, F.row_number().over(W.partitionBy(key).orderBy("start_line")).alias("pos"), "kind", "start_line", "end_line", "text", "level", "number", title.alias("title"), F.when(F.col("kind").isin("directive", "box", "columns"), attributes(F.col("text"))).alias("attributes"))
+    # runs are numbered from 1 without gaps, so a run's number is its block's place
+    return out.select(key, F.col("_b").cast("int").alias("pos"), "kind", "start_line", "end_line", "text", "level", "number", title.alias("title"), F.when(F.col("kind").isin("directive", "box", "columns"), attributes(F.col("text"))).alias("attributes"))
 
 
 def folded_units(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -122,10 +123,10 @@ def items(rows: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def padded(grid: DataFrame, key: str = "doc_id") -> DataFrame:
     """Cells with blank ones where a row is shorter than the first; rows that are longer are marked too_long."""
-    width = grid.filter("row = 0").groupBy(key, "pos").agg((F.max("col") + 1).alias("_width"))
     rows = grid.groupBy(key, "pos", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "cell"))).alias("_cells"), (F.max("col") + 1).alias("_n"))
+    width = F.max(F.when(F.col("row") == 0, F.col("_n"))).over(W.partitionBy(key, "pos"))
     every = F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest("_width", "_n") - 1), lambda c: F.coalesce(F.try_element_at("_cells", c), F.lit(""))))
-    return rows.join(width, [key, "pos"]).select(key, "pos", "row", every.alias("col", "cell"), (F.col("_n") > F.col("_width")).alias("too_long"))
+    return rows.withColumn("_width", width).filter("_width IS NOT NULL").select(key, "pos", "row", every.alias("col", "cell"), (F.col("_n") > F.col("_width")).alias("too_long"))
 
 
 def sections(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -138,7 +139,7 @@ def sections(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     from sheaf.operators import tree
 
     depth = F.when(F.col("kind") == "heading", F.when(F.col("number").rlike(r"^[0-9A-Z]+(?:\.[0-9]+)*$"), F.size(F.split("number", r"\."))).otherwise(F.greatest(F.col("level") - 1, F.lit(1))))
-    first = F.min(F.when((F.col("kind") == "heading") & (F.col("level") == 1), F.col("pos"))).over(W.partitionBy(key))
+    first = F.min(F.when((F.col("kind") == "heading") & (F.col("level") == 1), F.col("pos"))).over(W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))  # the order of the parents' window: one sort
     own = rows.withColumn("_first", first).filter(~F.col("pos").eqNullSafe(F.col("_first"))).drop("_first").withColumn("depth", depth)
     kind = (
         F.when(F.col("kind") != "heading", F.lit(None))

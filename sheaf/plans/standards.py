@@ -113,9 +113,15 @@ def cited_but_unlisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.cited_but_unlisted(_citations(spark, sf_dir))
 
 
+#: Orders whose documents one task makes and parses. An order is a few bytes, but eight lines of Markdown with all that is told
+#: of each, so partitions sized by the orders' bytes would hold ever more lines.
+ORDERS_A_TASK = 25_000
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Markdown document for each customer: front matter, a chapter, a table, and a clause for each order with gaps left open."""
     o = table(spark, sf_dir, "orders")
+    o = o.repartition(-(-o.count() // ORDERS_A_TASK) or 1, "o_custkey")
     n = F.col("n")
     clauses = o.selectExpr("o_custkey", "o_orderkey", "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r").selectExpr("o_custkey", "r", "r + (CASE WHEN r >= 3 THEN 1 ELSE 0 END) AS n", "o_orderkey")
     line = F.concat(F.lit("### 2."), n.cast("string"), F.lit(" 条款\n\n见表"), n.cast("string"), F.lit("。不大于 "), _s("o_orderkey"), F.lit("\n\n- 甲\n- 乙\n"))

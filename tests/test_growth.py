@@ -34,3 +34,16 @@ def test_sibling_numbers_in_one_pass(spark):
     foreign = "number does not continue its parent's"
     assert sorted(said) == sorted([("4.1", "number is repeated"), *((f"4.{k}", "number is skipped") for k in (2, 3, 4)), ("5.6", foreign), ("4.01", foreign)])
     assert plan(found).count("LogicalRDD") == 1
+
+
+def test_documents_are_dealt_by_orders(spark, monkeypatch):
+    monkeypatch.setattr(standards, "ORDERS_A_TASK", 100)
+    n = spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert standards._documents(spark, SF).rdd.getNumPartitions() == -(-n // 100)
+
+
+def test_padded_cells_in_one_pass(spark):
+    grid = spark.createDataFrame([("d", 1, 0, 0, "a"), ("d", 1, 0, 1, "b"), ("d", 1, 1, 0, "c"), ("d", 1, 2, 2, "x"), ("d", 9, 1, 0, "no first row")], "doc_id string, pos int, row int, col int, cell string")
+    got = markdown.padded(grid)
+    assert sorted(tuple(r)[2:] for r in got.collect()) == [(0, 0, "a", False), (0, 1, "b", False), (1, 0, "c", False), (1, 1, "", False), (2, 0, "", True), (2, 1, "", True), (2, 2, "x", True)]
+    assert plan(got).count("LogicalRDD") == 1
