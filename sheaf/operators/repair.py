@@ -189,28 +189,31 @@ def restored_numbers(blocks: DataFrame) -> DataFrame:
     """Headings whose number lost some or all of its dots, as 421 or 42.1 for 4.2.1, get the first reading that continues the numbering.
 
     A number that continues as it stands is right. Readings have four parts at
-    most. What continues depends on all headings before, so the headings of a
-    document, and they alone, are walked in order.
+    most. What continues depends on all headings before, so the headings, and
+    they alone, are walked in order, document after document; a task holds a
+    batch of them and the last number.
     """
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        last: tuple[int, ...] = ()
-        pdf = pdf.sort_values("pos")
-        fixed, codes = [], []
-        for number in pdf["number"]:
-            own, code = tuple(int(p) for p in number.split(".")), None
-            if last and not _continues(own, last):
-                found = next((r for r in _readings(number.replace(".", "")) if _continues(r, last)), own)
-                if found != own:
-                    own, code = found, "CSM-OCR-002"
-            fixed.append(".".join(map(str, own)))
-            codes.append(code)
-            last = own
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"], "_number": fixed, "_code": codes})
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        doc, last = None, ()
+        for pdf in batches:
+            fixed, codes = [], []
+            for at, number in zip(pdf["doc_id"], pdf["number"], strict=True):
+                if at != doc:
+                    doc, last = at, ()
+                own, code = tuple(int(p) for p in number.split(".")), None
+                if last and not _continues(own, last):
+                    found = next((r for r in _readings(number.replace(".", "")) if _continues(r, last)), own)
+                    if found != own:
+                        own, code = found, "CSM-OCR-002"
+                fixed.append(".".join(map(str, own)))
+                codes.append(code)
+                last = own
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"], "_number": fixed, "_code": codes})
 
     kind = blocks.schema["doc_id"].dataType.simpleString()
-    numbered = blocks.filter((F.col("kind") == "heading") & F.col("number").rlike(r"^\d+(\.\d+)*$")).select("doc_id", "pos", "number")
-    walked = numbered.groupBy("doc_id").applyInPandas(walk, f"doc_id {kind}, pos int, _number string, _code string")
+    numbered = blocks.filter((F.col("kind") == "heading") & F.col("number").rlike(r"^\d+(\.\d+)*$") & F.col("doc_id").isNotNull()).select("doc_id", "pos", "number")
+    walked = numbered.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInPandas(walk, f"doc_id {kind}, pos int, _number string, _code string")
     before = F.col("issue") if "issue" in blocks.columns else F.lit(None).cast("string")
     return blocks.join(walked, ["doc_id", "pos"], "left").withColumn("number", F.coalesce("_number", "number")).withColumn("issue", F.coalesce("_code", before)).drop("_number", "_code")
 
