@@ -38,10 +38,15 @@ def laid_out(schema: str, shapes: list[list[tuple]]) -> str:
     return f"SELECT c_custkey AS doc_id, {picked} FROM customer JOIN (VALUES {rows}) AS e(shape, {', '.join(n for n, _ in columns)}) ON c_custkey % {len(shapes)} = e.shape"
 
 
+#: Documents that one task lays out. A customer is a few bytes, a document much more, so that the files' parts would be too much for a task.
+DOCUMENTS_A_TASK = 5_000
+
+
 def shaped(spark: SparkSession, sf_dir: str, schema: str, shapes: list[list[tuple]]) -> DataFrame:
     """doc_id, pos and the rows of every document's shape."""
     own = spark.createDataFrame([(i, pos, *row) for i, shape in enumerate(shapes) for pos, row in enumerate(shape)], f"shape int, pos int, {schema}")
-    docs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), (F.col("c_custkey") % len(shapes)).cast("int").alias("shape"))
+    customers = table(spark, sf_dir, "customer")
+    docs = customers.select(F.col("c_custkey").alias("doc_id"), (F.col("c_custkey") % len(shapes)).cast("int").alias("shape")).repartition(-(-customers.count() // DOCUMENTS_A_TASK) or 1, "doc_id")
     joined = docs.join(F.broadcast(own), "shape").drop("shape")  # a few rows
     return joined.withColumns({n: F.replace(n, F.lit("{k}"), F.col("doc_id").cast("string")) for n, t in (c.split() for c in schema.split(", ")) if t == "string"})
 
