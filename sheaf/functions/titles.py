@@ -58,14 +58,14 @@ def place_of_use(title: Column) -> Column:
 def subjects(titles: DataFrame, lexicon: DataFrame, key: str, title: str = "title", word: str = "word") -> DataFrame:
     """key and the longest lexicon word in its title, the rest of the title beside it.
 
-    Titles meet words through their substrings' first two characters, an
-    equi-join on a small key, so the lexicon may be of any size.
+    Each title is looked up once, however many keys have it. Titles meet words
+    through their substrings' first two characters, an equi-join on a small key,
+    so the lexicon may be of any size.
     """
     own = titles.select(key, F.col(title).alias("_t"))
-    pairs = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1))), lambda n: F.substring("_t", n, 2))))
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1))), lambda n: F.substring("_t", n, 2))
     words = lexicon.select(F.col(word).alias("_w")).distinct()
-    singles = F.explode(F.array_distinct(F.split("_t", "")))
-    starts = own.select(key, "_t", pairs.alias("_k")).unionByName(own.select(key, "_t", singles.alias("_k"))).distinct()
+    starts = own.select("_t").distinct().select("_t", F.explode(F.array_distinct(F.concat(pairs, F.split("_t", "")))).alias("_k"))
     met = starts.join(words.withColumn("_k", F.substring("_w", 1, 2)), "_k").filter(F.col("_t").contains(F.col("_w")))
-    best = met.groupBy(key).agg(F.min_by("_w", F.struct(-F.length("_w"), "_w")).alias("subject"))
-    return own.join(best, key, "left").select(key, "subject", F.expr("replace(_t, subject, '')").alias("remainder"))
+    best = met.groupBy("_t").agg(F.min_by("_w", F.struct(-F.length("_w"), "_w")).alias("subject"))
+    return own.join(best, "_t", "left").select(key, "subject", F.expr("replace(_t, subject, '')").alias("remainder"))

@@ -47,3 +47,33 @@ def test_padded_cells_in_one_pass(spark):
     got = markdown.padded(grid)
     assert sorted(tuple(r)[2:] for r in got.collect()) == [(0, 0, "a", False), (0, 1, "b", False), (1, 0, "c", False), (1, 1, "", False), (2, 0, "", True), (2, 1, "", True), (2, 2, "x", True)]
     assert plan(got).count("LogicalRDD") == 1
+
+
+def test_numbers_are_walked_over_batches(spark):
+    """Headings of all documents are walked in few Python batches, not a group at a time; a batch may end within a document."""
+    rows = [(d, p, "heading", n) for d in range(40) for p, n in enumerate(("4", "4.1", "42", "421"))]
+    blocks = spark.createDataFrame(rows, "doc_id int, pos int, kind string, number string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = repair.restored_numbers(blocks)
+        assert {(r.pos, r.number) for r in got.collect()} == {(0, "4"), (1, "4.1"), (2, "4.2"), (3, "4.2.1")} and got.count() == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroups" not in plan(got)
+
+
+def test_shapes_are_dealt_by_documents(spark, monkeypatch):
+    from sheaf.plans import shapes
+
+    monkeypatch.setattr(shapes, "DOCUMENTS_A_TASK", 10)
+    n = spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert shapes.shaped(spark, SF, "a string", [[("x",)]]).rdd.getNumPartitions() == -(-n // 10)
+
+
+def test_subjects_by_title(spark):
+    """A title that many keys have is looked up once."""
+    rows = spark.createDataFrame([(k, "旋转电机要求") for k in range(50)] + [(90, None), (91, "无"), (92, "机")], "k int, title string")
+    words = spark.createDataFrame([("电机",), ("旋转电机",), ("机",)], "word string")
+    got = titles.subjects(rows, words, "k")
+    assert sorted((r.k, r.subject, r.remainder) for r in got.collect()) == [(k, "旋转电机", "要求") for k in range(50)] + [(90, None, None), (91, None, None), (92, "机", "")]
+    assert "Aggregate [_t" in plan(got)
