@@ -20,7 +20,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
         out = linked.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(linked.select("a", F.col("low").alias("b")))
-    return out.filter("a <> b").distinct()
+    out = out.filter("a <> b")
+    return out if large else out.distinct()  # an edge gives one row at most for larger neighbours, which the next step reads
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -324,9 +324,8 @@ def place_of(column: str | Column) -> Column:
 def bitmap_of(ids: DataFrame) -> np.ndarray:
     """A bitmap of fixed size in which the places of all ids are set."""
     places = ids.select(place_of(ids.columns[0]).alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 AS int)))").alias("bits"))
-    out = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-    for w, bits in places.collect():
-        out[w] = bits
+    got, out = places.toArrow(), np.zeros((1 << FILTER_BITS) // 64, np.int64)
+    out[got.column("w").to_numpy()] = got.column("bits").to_numpy()
     return out
 
 
@@ -417,9 +416,8 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
         one, two = (named.select(F.col("short").alias(s), F.col("class").alias(c), F.col("n").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_sketch")) for s, c in (("s", "a"), ("t", "b")))
         return links.join(one, "s").join(two, "t").filter(may_reach("a", "b", similarity)).select("a", "b")
 
-    tried = materialize(pairs_of(buckets.filter("before IS NOT NULL").select(F.col("before").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")
-    linked = materialize(verified(tried, docs, classes, similarity, words), "jaccard-links")
-    found = connected_components(linked)
+    tried = [materialize(pairs_of(buckets.filter("before IS NOT NULL").select(F.col("before").alias("s"), F.col("short").alias("t")).distinct()), "jaccard-pairs")]
+    found = connected_components(verified(tried[0], docs, classes, similarity, words))
 
     def open_buckets(rows: DataFrame) -> DataFrame:
         """The rows (sig, short) of buckets whose classes are not in one component so far, with the component."""
@@ -428,24 +426,27 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
         mixed_ = marked.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
         return materialize(marked.join(mixed_, "sig"), "jaccard-open")
 
-    def more(links: DataFrame, tables: tuple[DataFrame, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """tried, linked and found after trying other pairs (s, t) of classes; tables are deleted."""
-        fresh = links.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t")).distinct()
-        fresh = materialize(pairs_of(fresh).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+    def more(links: DataFrame, *tables: DataFrame) -> DataFrame:
+        """found after trying other pairs (s, t) of classes, which join those tried; tables are deleted."""
+        fresh = pairs_of(links.select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t")).distinct())
+        for before in tried:
+            fresh = fresh.join(before, ["a", "b"], "left_anti")
+        fresh = materialize(fresh, "jaccard-pairs")
         discard(*tables)
+        tried.append(fresh)
         if fresh.isEmpty():
-            discard(fresh)
-            return tried, linked, found
-        every = materialize(linked.unionByName(verified(fresh, docs, classes, similarity, words)), "jaccard-links")
-        both = materialize(tried.unionByName(fresh), "jaccard-pairs")
-        discard(tried, fresh, linked, found)
-        return both, every, connected_components(every)
+            return found
+        # what is found already stands for all links so far: each class beside the least of its component
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        out = connected_components(known.unionByName(verified(fresh, docs, classes, similarity, words)))
+        discard(found)
+        return out
 
     # the class of a bucket that shares most with others is the nearest to the middle of a group: it is tried against all of other components
     open_ = open_buckets(buckets)
     degree = open_.groupBy("short").agg(F.count("*").alias("degree"))
     hub = open_.join(degree, "short").groupBy("sig").agg(F.max_by(F.struct("short", "component"), F.struct("degree", "short")).alias("hub"))
-    tried, linked, found = more(open_.join(hub, "sig").filter("component <> hub.component").select(F.col("hub.short").alias("s"), F.col("short").alias("t")), (buckets,))
+    found = more(open_.join(hub, "sig").filter("component <> hub.component").select(F.col("hub.short").alias("s"), F.col("short").alias("t")), buckets)
 
     # and all pairs that are in different components even so
     rest = open_buckets(open_)
@@ -453,8 +454,8 @@ def join(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int =
     held = rest.join(named.select("short", "n", "sketch"), "short")
     x, y = (held.select("sig", *(F.col(c).alias(f"{side}_{c}") for c in ("short", "component", "n", "sketch"))) for side in ("x", "y"))
     met = x.join(y, "sig").filter((F.col("x_component") < F.col("y_component")) & may_reach("x", "y", similarity))
-    tried, linked, found = more(met.select(F.col("x_short").alias("s"), F.col("y_short").alias("t")), (rest,))
-    discard(tried, linked)
+    found = more(met.select(F.col("x_short").alias("s"), F.col("y_short").alias("t")), rest)
+    discard(*tried)
 
     grouped = classes.join(found, classes["class"] == found["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "rep")
     least = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))

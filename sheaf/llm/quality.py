@@ -43,6 +43,8 @@ HIDDEN = 24
 #: Words to either side that make a word's surroundings; tasks that add them up.
 WINDOW = 2
 FIT_TASKS = 16
+#: Parts of the form buckets in which the tasks' sums are added up.
+FIT_PARTS = 64
 #: Words that a task remembers at most; a full cache is emptied.
 CACHE_WORDS = 300_000
 
@@ -116,7 +118,8 @@ def word_vectors(sample: DataFrame) -> np.ndarray:
     """Form vectors from the surroundings in the sample's texts.
 
     Each task adds up for all form buckets; the sample is bounded, and so are
-    the tasks that read it.
+    the tasks that read it. What the tasks found is added up in parts, and only
+    the sums reach the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,13 +129,25 @@ def word_vectors(sample: DataFrame) -> np.ndarray:
             for text in texts_of(batch):
                 if len(codes := tokens.of(text)):
                     surroundings(codes // SHAPES, index, total, count)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["total", "count"])
-
-    got = sample.select("text").repartition(FIT_TASKS).mapInArrow(run, "total binary, count binary").collect()
+        parts = [np.concatenate([t.ravel(), c]) for t, c in zip(np.array_split(total, FIT_PARTS), np.array_split(count, FIT_PARTS), strict=True)]
+        there = [k for k, x in enumerate(parts) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array([parts[k].tobytes() for k in there], pa.binary())], ["part", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column("part").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                own = np.frombuffer(x, np.float32)
+                sums[k] = sums[k] + own if k in sums else own  # sums of whole numbers, so their order doesn't matter
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "sums"])
+
+    schema = "part int, sums binary"
+    got = sample.select("text").repartition(FIT_TASKS).mapInArrow(run, schema).repartition("part").mapInArrow(add, schema).collect()  # FIT_PARTS rows at most
     total, count = np.zeros((WORDS, DIM), np.float32), np.zeros(WORDS, np.float32)
-    for row in got:  # sums of whole numbers, so their order doesn't matter
-        total += np.frombuffer(row["total"], np.float32).reshape(WORDS, DIM)
-        count += np.frombuffer(row["count"], np.float32)
+    at = np.array_split(np.arange(WORDS), FIT_PARTS)
+    for k, sums in got:
+        own, n = np.frombuffer(sums, np.float32), len(at[k])
+        total[at[k]], count[at[k]] = own[: n * DIM].reshape(n, DIM), own[n * DIM :]
     return index_vectors(WORDS, 2) + total / np.maximum(count, 1)[:, None]
 
 

@@ -156,6 +156,26 @@ def test_word_vectors_follow_the_words_around(spark):
     assert tokens[long_ + "1"] % quality.SHAPES != tokens[long_ + "A"] % quality.SHAPES
 
 
+def test_sums_of_word_vectors_reach_the_driver_once(spark, monkeypatch):
+    """However many tasks read the sample, as many bytes are collected, and the vectors are the same."""
+    rng = random.Random(4)
+    sample = spark.createDataFrame([(" ".join(rng.choices("red green blue one two three four".split(), k=30)),) for _ in range(64)], "text string")
+    sizes, collect = [], type(sample).collect
+
+    def counted(df):
+        got = collect(df)
+        sizes.append(sum(len(x) for row in got for x in row if isinstance(x, (bytes, bytearray))))
+        return got
+
+    monkeypatch.setattr(type(sample), "collect", counted)
+    found = []
+    for tasks in (1, 16):
+        monkeypatch.setattr(quality, "FIT_TASKS", tasks)
+        found.append(quality.word_vectors(sample))
+    assert np.array_equal(*found)
+    assert sizes[0] == sizes[1] <= 4 * quality.WORDS * (quality.DIM + 1)
+
+
 def test_quality_scores_are_calibrated(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(0, 1, (4000, 6)).astype(np.float32)
@@ -526,6 +546,35 @@ def test_pipeline_keeps_what_it_should(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_links_found_are_not_joined_again(spark, monkeypatch):
+    """Later rounds of the join get each class once, beside its component, not all links once more."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = []
+    for i in range(60):
+        own = list(base)
+        for at in rng.sample(range(300), 1 + i % 3):
+            own[at] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    calls, components = [], jaccard_join.connected_components
+
+    def seen(edges):
+        calls.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(jaccard_join, "connected_components", seen)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(spark.createDataFrame(texts, "doc_id long, text string"), (95, 100)).collect()}
+    sets = [set(zip(t.split(), t.split()[1:], t.split()[2:], strict=False)) for _, t in texts]
+    label = list(range(60))
+    for _ in range(60):
+        for i in range(60):
+            for j in range(60):
+                if 100 * len(sets[i] & sets[j]) >= 95 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert got == dict(enumerate(label))
+    assert len(calls) > 1 and all(n < calls[0] for n in calls[1:])
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 103), (50, 40), (40, 50), (7, 7)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
